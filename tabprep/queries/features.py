@@ -5,8 +5,7 @@ from __future__ import annotations
 from tabprep import constants as K
 from tabprep.functions import features as X
 from tabprep.operators.features import build_features
-from tabprep.registry import KEEP, SERVICE, cleaned, register, with_ctes
-from tabprep.sources import fixture
+from tabprep.registry import KEEP, SERVICE, cleaned, register, table
 from tabprep.sources import oracle_sql as O
 
 
@@ -67,5 +66,5 @@ EV = "(SELECT event_id, ts FROM events)"
 @register("time_features_events", "SELECT event_id, " + ", ".join(
     f"{e} AS {n}" for n, e in _time_sql("ts").items()) + " FROM events")
 def q_time_features_events(spark, sf):
-    ev = fixture.table(spark, sf, "events")
+    ev = table(spark, sf, "events")
     return ev.select("event_id", *[e.alias(n) for n, e in X.time_features("ts").items()])

@@ -52,6 +52,11 @@ def raw(spark: SparkSession, sf: str) -> DataFrame:
     return fixture.raw(spark, sf)
 
 
+def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    apply_conf(spark)
+    return fixture.table(spark, sf, name)
+
+
 def cleaned(spark: SparkSession, sf: str, profile: str = "core") -> DataFrame:
     return clean(raw(spark, sf), profile, keep=KEEP)
 
@@ -94,4 +99,4 @@ AUDIT_CUR = with_ctes(CLEAN_AUDIT_CTE, CURATED_AUDIT_CTE)
 SERVICE = with_ctes(CLEAN_SERVICE_CTE)
 
 # importing the query modules fills QUERIES / ORACLE
-from tabprep.queries import cleaning, evaluation, features, quality  # noqa: E402,F401
+from tabprep.queries import cleaning, evaluation, features, profiling, quality  # noqa: E402,F401
