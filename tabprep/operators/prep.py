@@ -25,8 +25,11 @@ def label_stage(label: str = K.LABEL_COLUMN, output: str = "label") -> StringInd
 
 
 def category_stages(cols) -> list:
-    """Frequency-descending index per column (ties alphabetical); unseen -> n."""
-    return [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in cols]
+    """Frequency-descending index per column (ties alphabetical); unseen -> n.
+
+    One multi-column indexer: all vocabularies are counted in a single pass."""
+    cols = list(cols)
+    return [StringIndexer(inputCols=cols, outputCols=[f"{c}_idx" for c in cols], handleInvalid="keep")]
 
 
 # ------------------------------------------------------------------ M03-M04
