@@ -26,9 +26,11 @@ from tabprep.operators import evaluate as E  # noqa: E402
 from tabprep.operators import profile as P  # noqa: E402
 from tabprep.operators import quality as Q  # noqa: E402
 from tabprep.operators import schema as S  # noqa: E402
+from tabprep.operators.partitioning import spread  # noqa: E402
 from tabprep.operators.features import build_features  # noqa: E402
 from tabprep.plans import train as TR  # noqa: E402
 from tabprep.plans.clean import clean  # noqa: E402
+from tabprep.plans.curate import run_curate  # noqa: E402
 from tabprep.plans.score import score  # noqa: E402
 from tabprep.session import local_session  # noqa: E402
 from tabprep.sources import fixture, io  # noqa: E402
@@ -51,8 +53,8 @@ def main():
     raw_pq, raw_csv = os.path.join(scratch, "raw_pq"), os.path.join(scratch, "raw_csv")
     fixture.raw(spark, sf_dir).write.parquet(raw_pq)
     S.select_contract(spark.read.parquet(raw_pq)).write.option("header", "true").csv(raw_csv)
-    raw = spark.read.parquet(raw_pq)
-    lineitem = fixture.table(spark, sf_dir, "lineitem")
+    raw = spread(spark.read.parquet(raw_pq))
+    lineitem = spread(fixture.table(spark, sf_dir, "lineitem"))
     spark.range(1000).agg(F.sum("id")).collect()  # JVM warm-up
 
     def cleaned(profile="core"):
@@ -69,17 +71,16 @@ def main():
         fn()
         times[name] = round(time.perf_counter() - t, 3)
 
-    timed("csv_ingest_clean", lambda: noop(clean(io.read_raw_csv(spark, raw_csv), "core")))
+    timed("csv_ingest_clean", lambda: noop(clean(spread(io.read_raw_csv(spark, raw_csv)), "core")))
     timed("clean_core", lambda: noop(cleaned()))
     timed("dedup_business_key", lambda: noop(curated()))
     timed("dq_metrics", lambda: Q.dq_metrics(raw, curated(), "core", raw_pq, NOW).collect())
     timed("gate_report", lambda: Q.gate_report(curated(), numeric_failures=Q.cast_failure_table(cleaned())).collect())
 
-    def publish():
-        cur = curated()
-        io.publish(cur, "bench_db.curated", "parquet")
-        io.validate_publish(spark, "bench_db.curated", cur)
-    timed("publish_validate", publish)
+    def curate_job():
+        run_curate(raw, "bench_db.curated", "bench_db.dq", tie_break=KEEP, source_path=raw_pq, now=NOW,
+                   fmt="parquet")
+    timed("curate_job_publish_validate", curate_job)
     timed("feature_frame", lambda: noop(build_features(cleaned("service"), keep=KEEP)))
     timed("profile_lineitem", lambda: P.profile(lineitem).collect())
     timed("numeric_summary_lineitem", lambda: P.numeric_summary(
@@ -92,7 +93,7 @@ def main():
     # model preparation fitted once, then one fit per estimator family
     cur_pq = os.path.join(scratch, "curated_pq")
     spark.read.table("bench_db.curated").write.parquet(cur_pq)
-    cur = spark.read.parquet(cur_pq)
+    cur = spread(spark.read.parquet(cur_pq))
     cfgs = {"lr": TR.SWEEP_CONFIGS[0], "dt": TR.SWEEP_CONFIGS[2], "gbt": TR.BOOST_FALLBACK}
     state = {}
 

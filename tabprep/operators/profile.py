@@ -67,14 +67,40 @@ def numeric_summary(df: DataFrame, cols=None, exact: bool = True, probs=(0.25, 0
 
 
 # ------------------------------------------------------------------------ A15
+def _slot(f):
+    """(long, double, text) slot of a value, typed so distinctness is exact."""
+    c, dt = F.col(f.name), f.dataType
+    null_l, null_d, null_s = F.lit(None).cast("long"), F.lit(None).cast("double"), F.lit(None).cast("string")
+    if isinstance(dt, INTEGRAL):
+        return c.cast("long"), null_d, null_s
+    if isinstance(dt, (T.FloatType, T.DoubleType)):
+        return null_l, c.cast("double"), null_s
+    return null_l, null_d, c.cast("string")
+
+
+def distinct_counts(df: DataFrame) -> DataFrame:
+    """(col_idx, distinct_count) for every column from ONE shuffle: cells are
+    unpivoted into typed slots, de-duplicated (map-side partial aggregation)
+    and counted per column.  Unlike several ``count(DISTINCT ...)`` in one
+    aggregate, this needs no Expand of every input row per distinct column."""
+    cells = df.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("col_idx"), *[v.alias(n) for v, n in zip(_slot(f), ("lv", "dv", "tv"))])
+        for i, f in enumerate(df.schema.fields)])))
+    cells = cells.where(F.col("lv").isNotNull() | F.col("dv").isNotNull() | F.col("tv").isNotNull())
+    return cells.distinct().groupBy("col_idx").agg(F.count(F.lit(1)).alias("distinct_count"))
+
+
 def profile(df: DataFrame, exact_distinct: bool = True, digits: int = 9) -> DataFrame:
     """One row per column: type, rows, nulls, distinct, numeric min/max/mean/
-    stddev/zeros, text min/max.  Everything comes from one aggregate."""
+    stddev/zeros, text min/max.  One aggregate computes everything except the
+    exact distinct counts, which come from :func:`distinct_counts` (one
+    shuffle) and join back on the column index (both sides: one row per column)."""
     aggs, structs = [], []
-    distinct = F.count_distinct if exact_distinct else F.approx_count_distinct
     for i, f in enumerate(df.schema.fields):
         c, kind = f.name, _kind(f.dataType)
-        aggs += [F.count_if(F.col(c).isNull()).alias(f"_n{i}"), distinct(c).alias(f"_d{i}")]
+        aggs.append(F.count_if(F.col(c).isNull()).alias(f"_n{i}"))
+        if not exact_distinct:
+            aggs.append(F.approx_count_distinct(c).alias(f"_d{i}"))
         num = kind == "numeric"
         if num:
             x = F.col(c).cast("double")
@@ -84,11 +110,12 @@ def profile(df: DataFrame, exact_distinct: bool = True, digits: int = 9) -> Data
             aggs += [F.min(c).cast("string").alias(f"_tmi{i}"), F.max(c).cast("string").alias(f"_tma{i}")]
         null_d, null_s, null_l = F.lit(None).cast("double"), F.lit(None).cast("string"), F.lit(None).cast("long")
         structs.append(F.struct(
+            F.lit(i).alias("col_idx"),
             F.lit(c).alias("column_name"),
             F.lit(f.dataType.simpleString()).alias("data_type"),
             F.col("_rows").alias("row_count"),
             F.col(f"_n{i}").alias("null_count"),
-            F.col(f"_d{i}").cast("long").alias("distinct_count"),
+            (F.lit(None).cast("long") if exact_distinct else F.col(f"_d{i}").cast("long")).alias("distinct_count"),
             (F.col(f"_mi{i}") if num else null_d).alias("min_value"),
             (F.col(f"_ma{i}") if num else null_d).alias("max_value"),
             (F.round(F.col(f"_av{i}"), digits) if num else null_d).alias("mean"),
@@ -98,7 +125,14 @@ def profile(df: DataFrame, exact_distinct: bool = True, digits: int = 9) -> Data
             (F.col(f"_tma{i}") if kind in ("text", "temporal") else null_s).alias("max_text"),
         ))
     wide = df.agg(F.count(F.lit(1)).alias("_rows"), *aggs)
-    return wide.select(F.inline(F.array(*structs)))
+    long = wide.select(F.inline(F.array(*structs)))
+    if exact_distinct:
+        d = distinct_counts(df).withColumnRenamed("distinct_count", "_dc")
+        long = (long.join(d, on="col_idx", how="left")
+                .withColumn("distinct_count", F.coalesce(F.col("_dc"), F.lit(0).cast("long"))).drop("_dc"))
+    cols = ["column_name", "data_type", "row_count", "null_count", "distinct_count", "min_value", "max_value",
+            "mean", "stddev", "zero_count", "min_text", "max_text"]
+    return long.orderBy("col_idx").select(*cols)
 
 
 def top_values(df: DataFrame, cols=None, k: int = 5) -> DataFrame:

@@ -19,6 +19,10 @@ SQL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # HotSpot never JIT-compiles a method above 8000 bytes; the wide cleaning
+    # projection generates one, so fall back to per-expression codegen instead
+    # of running whole-stage code interpreted (documented Spark advice).
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
