@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabprep.operators import rank as R
+from tabprep.operators.partitioning import materialize
 
 
 def confusion_matrix(pred: DataFrame, label: str = "label", prediction: str = "prediction",
@@ -61,8 +62,8 @@ def roc_auc(pred: DataFrame, label: str = "label", score: str = "score", groups=
     """Exact tie-averaged ROC-AUC per group,
     ``sum_s pos_s * (neg_before_s + neg_s / 2) / (P * N)``."""
     groups = list(groups)
-    by_score = pred.groupBy(*groups, score).agg(
-        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
+    by_score = materialize(pred.groupBy(*groups, score).agg(
+        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")))
     by_score = R.with_quantile_bucket(by_score, score, n_buckets or R.default_buckets(pred))
     pref = R.exclusive_prefix(by_score, [score], ["pos", "neg"], groups)
     return pref.groupBy(*groups).agg(
@@ -82,18 +83,18 @@ def overfit_gap(pred: DataFrame, label: str = "label", score: str = "score", spl
 
 def evaluate(pred: DataFrame, label: str = "label", prediction: str = "prediction", score: str = "score",
              groups=(), digits: int | None = None) -> DataFrame:
-    """All five metrics per group (two aggregates joined on the group keys)."""
+    """All five metrics per group.  The two aggregates (confusion metrics and
+    AUC; one row per group each) are unioned and folded per group, so no join
+    -- and never a cartesian product -- is planned."""
     groups = list(groups)
-    keys = groups or ["_g"]
-    if not groups:
-        pred = pred.withColumn("_g", F.lit(0))
-    m = classification_metrics(pred, label, prediction, keys)
-    a = roc_auc(pred, label, score, keys)
-    out = m.join(a, on=keys, how="inner").drop("_g")
+    names = ["accuracy", "weighted_precision", "weighted_recall", "f1", "roc_auc"]
+    m = classification_metrics(pred, label, prediction, groups)
+    a = roc_auc(pred, label, score, groups)
+    both = m.unionByName(a, allowMissingColumns=True)
+    folded = (both.groupBy(*groups) if groups else both).agg(*[F.max(c).alias(c) for c in names])
     if digits is not None:
-        out = out.select(*groups, *[F.round(c, digits).alias(c) for c in
-                                    ("accuracy", "weighted_precision", "weighted_recall", "f1", "roc_auc")])
-    return out
+        folded = folded.select(*groups, *[F.round(c, digits).alias(c) for c in names])
+    return folded
 
 
 def positive_score(probability: str = "probability", index: int = 1) -> Column:

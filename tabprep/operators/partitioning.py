@@ -16,3 +16,13 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     n = df.rdd.getNumPartitions()
     return df.repartition(target) if n < target else df
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage with a reliable checkpoint in the cluster's shared
+    checkpoint folder (``spark.checkpoint.dir``): later actions read the copy
+    instead of recomputing the plan, and a lost executor does not force a
+    recomputation from the sources."""
+    from tabprep.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -44,7 +44,7 @@ def _long_values(df: DataFrame, cols) -> DataFrame:
 
 # ------------------------------------------------------------------------ A11
 def numeric_summary(df: DataFrame, cols=None, exact: bool = True, probs=(0.25, 0.5, 0.75),
-                    digits: int = 6) -> DataFrame:
+                    digits: int = 9) -> DataFrame:
     """count, mean, stddev (sample), min, 25/50/75 %, max per column, long form.
 
     ``exact`` uses linear-interpolated exact quantiles; otherwise

@@ -21,6 +21,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabprep.operators.partitioning import materialize
+
 # A broadcast side built here is at most this many rows; beyond it the join
 # falls back to a shuffle join.
 MAX_BROADCAST_ROWS = 1_000_000
@@ -100,7 +102,9 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: list, groups: list = (
     """Linear-interpolated exact quantiles (the rule of SQL ``percentile`` /
     ``quantile_cont``) per group, from value counts and prefix sums."""
     names = names or [f"q{int(round(p * 100))}" for p in probs]
-    vc = value_counts(df, value_col, groups)
+    # the value-count table feeds three actions (boundaries, size check,
+    # result): compute it once
+    vc = materialize(value_counts(df, value_col, groups))
     vc = with_quantile_bucket(vc, value_col, n_buckets or default_buckets(df))
     pref = exclusive_prefix(vc, [value_col], ["n"], groups)
     aggs = []

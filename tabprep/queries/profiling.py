@@ -54,10 +54,10 @@ def q_top_values_lineitem(spark, sf):
 
 def _summary_sql(cols, src, pre="") -> str:
     return pre + " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, count({c}) AS count, round(avg(CAST({c} AS DOUBLE)), 6) AS mean, "
-        f"round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS stddev, CAST(min({c}) AS DOUBLE) AS min, "
-        f"round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 6) AS p25, round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 6) AS p50, "
-        f"round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 6) AS p75, CAST(max({c}) AS DOUBLE) AS max FROM {src}"
+        f"SELECT '{c}' AS column_name, count({c}) AS count, round(avg(CAST({c} AS DOUBLE)), 9) AS mean, "
+        f"round(stddev_samp(CAST({c} AS DOUBLE)), 9) AS stddev, CAST(min({c}) AS DOUBLE) AS min, "
+        f"round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 9) AS p25, round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 9) AS p50, "
+        f"round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 9) AS p75, CAST(max({c}) AS DOUBLE) AS max FROM {src}"
         for c in cols)
 
 
