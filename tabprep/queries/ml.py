@@ -75,3 +75,10 @@ def q_batch_score(spark, sf):
     full = PipelineModel(stages=list(res.prep_model.stages) + [res.models[cfg.run_name]])
     records = cur.drop("income", "processed_at")
     return score(records, full, cfg.run_name)
+
+
+@register("hist_gbt_runs")
+def q_hist_gbt(spark, sf):
+    """Histogram-GBT configuration (220 rounds, lr 0.06) mapped to MLlib GBT."""
+    res = TR.run_sweep(curated(spark, sf), [TR.JOB_CONFIGS["hist_gbt"]])
+    return res.runs.select(*RUN_COLS)

@@ -296,3 +296,23 @@ SORD = f"CAST(('0x' || substr({SKEY}, 1, 15)) AS BIGINT), md5(CAST(record_id AS
 def q_stratified_split(spark, sf):
     c = cleaned(spark, sf).select(*KEEP, "income").where(F.col("income").isNotNull())
     return D.stratified_split(c, "income", key_cols=KEEP, test_fraction=0.2)
+
+
+# ---------------------------------------------------------------------- D07
+@register("random_split_counts")
+def q_random_split_counts(spark, sf):
+    """Native Bernoulli 80/20 split, seed 42 (partition-dependent, so rows-only)."""
+    c = cleaned(spark, sf).select(*KEEP, "income")
+    train, test = D.random_split(c, (0.8, 0.2), K.SEED)
+    return (train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+            .groupBy("split").agg(F.count(F.lit(1)).alias("n")))
+
+
+# ---------------------------------------------------------------------- D06
+@register("top_k_capital_gain", CORE_CUR + (
+    "SELECT * FROM curated ORDER BY capital_gain DESC NULLS LAST, " + ", ".join(
+        f"{c} ASC NULLS FIRST" for c in K.CURATED_COLUMNS if c != "capital_gain") + " LIMIT 30"))
+def q_top_k(spark, sf):
+    cur = curated(spark, sf)
+    tie = [c for c in K.CURATED_COLUMNS if c != "capital_gain"]
+    return ntz(D.top_k(cur, "capital_gain", 30, tie=tie))
