@@ -8,7 +8,7 @@ from tabprep import constants as K
 from tabprep.functions import clean as C
 from tabprep.operators import dedup as D
 from tabprep.operators import schema as S
-from tabprep.registry import (AUDIT, AUDIT_CUR, CORE, CORE_CUR, KEEP, RAW_CTE, SERVICE, cleaned, curated,
+from tabprep.registry import (AUDIT, AUDIT_CUR, CORE, CORE_CUR, KEEP, SERVICE, cleaned, curated,
                               ntz, raw, register, with_ctes)
 from tabprep.sources import oracle_sql as O
 

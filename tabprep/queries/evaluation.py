@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tabprep import constants as K
 from tabprep.operators import evaluate as E
 from tabprep.operators.features import build_features
-from tabprep.registry import KEEP, cleaned, register, with_ctes
+from tabprep.registry import KEEP, cleaned, register
 from tabprep.session import apply_conf
 from tabprep.sources import fixture
 

@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 
 from tabprep import constants as K
 from tabprep.operators import dedup as D
-from tabprep.operators import quality as Q
 from tabprep.operators import schema as S
 from tabprep.operators.partitioning import spread
 from tabprep.plans.clean import clean
