@@ -19,7 +19,7 @@ def _mf(spark, sf):
     return S.model_frame(curated(spark, sf), "full")
 
 
-@register("label_index", MF_SQL + "SELECT income, CASE WHEN income = '<=80k' THEN 0.0 ELSE 1.0 END AS label, "
+@register("label_index", MF_SQL + "SELECT income, CAST(CASE WHEN income = '<=80k' THEN 0 ELSE 1 END AS DOUBLE) AS label, "
           "count(*) AS count FROM mf GROUP BY 1, 2")
 def q_label_index(spark, sf):
     mf = _mf(spark, sf)

@@ -43,8 +43,8 @@ def q_profile_lineitem(spark, sf):
 TOPK_COLS = [c for c, t in LINEITEM if t in ("bigint", "int", "string")]
 
 
-@register("top_values_lineitem", "SELECT * FROM (SELECT column_name, value, count, row_number() OVER ("
-          "PARTITION BY column_name ORDER BY count DESC, value ASC NULLS FIRST) AS rank FROM (SELECT column_name, value, "
+@register("top_values_lineitem", "SELECT * FROM (SELECT column_name, value, count, CAST(row_number() OVER ("
+          "PARTITION BY column_name ORDER BY count DESC, value ASC NULLS FIRST) AS INTEGER) AS rank FROM (SELECT column_name, value, "
           "count(*) AS count FROM (" + " UNION ALL ".join(
               f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM lineitem" for c in TOPK_COLS)
           + ") GROUP BY 1, 2)) WHERE rank <= 5")

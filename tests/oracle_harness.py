@@ -58,8 +58,26 @@ def canon_rows(df: pd.DataFrame, digits=9):
     return cols, sorted(rows)
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "smallint": "SMALLINT", "float": "FLOAT",
+                 "date": "DATE"}
+
+
+def type_diffs(spark_df, con, sql):
+    """Columns whose Spark type does not map onto the DuckDB result type."""
+    duck_types = {r[0]: r[1] for r in con.execute(f"SELECT column_name, column_type FROM (DESCRIBE ({sql}))").fetchall()}
+    out = []
+    for f in spark_df.schema.fields:
+        want = SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+        got = duck_types.get(f.name)
+        if got is not None and got != want:
+            out.append(f"{f.name}: spark {f.dataType.simpleString()} vs duckdb {got}")
+    return out
+
+
 def compare(spark, con, name, fn, sql, sf_dir, digits=9):
-    sdf = fn(spark, sf_dir).toPandas()
+    sdf_spark = fn(spark, sf_dir)
+    sdf = sdf_spark.toPandas()
     odf = con.execute(sql).df()
     sc, sr = canon_rows(sdf, digits)
     oc, orows = canon_rows(odf, digits)
@@ -71,6 +89,9 @@ def compare(spark, con, name, fn, sql, sf_dir, digits=9):
     if not problems and sr != orows:
         diff = [(a, b) for a, b in zip(sr, orows) if a != b][:3]
         problems.append(f"values differ, e.g. {diff}")
+    td = type_diffs(sdf_spark, con, sql)
+    if td:
+        problems.append("types differ: " + "; ".join(td))
     return len(sr), problems
 
 
