@@ -13,6 +13,10 @@ from pyspark.sql import DataFrame
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Call on a freshly read source (a plain file scan).  There, counting
+    partitions is pure planning; on a plan with shuffles or broadcasts it would
+    execute them just to count, so derived frames are spread through their
+    sources instead (see ``fixture.raw``)."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     n = df.rdd.getNumPartitions()
     return df.repartition(target) if n < target else df

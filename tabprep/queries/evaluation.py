@@ -17,7 +17,7 @@ PREDS = "WITH " + fixture.duckdb_ctes("preds") + "\n"
 
 def _preds(spark, sf):
     apply_conf(spark)
-    return fixture.preds(spark, sf)
+    return fixture.preds(spark, sf, spread_scan=True)
 
 
 def _metrics_sql(src: str, group: str | None, digits: int | None = None) -> str:

@@ -14,7 +14,6 @@ from pyspark.sql import types as T
 from tabprep import constants as K
 from tabprep.operators import dedup as D
 from tabprep.operators import schema as S
-from tabprep.operators.partitioning import spread
 from tabprep.plans.clean import clean
 from tabprep.session import apply_conf
 from tabprep.sources import fixture
@@ -49,12 +48,12 @@ def ntz(df: DataFrame) -> DataFrame:
 
 def raw(spark: SparkSession, sf: str) -> DataFrame:
     apply_conf(spark)
-    return spread(fixture.raw(spark, sf))
+    return fixture.raw(spark, sf, spread_scan=True)
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     apply_conf(spark)
-    return spread(fixture.table(spark, sf, name))
+    return fixture.table(spark, sf, name, spread_scan=True)
 
 
 def cleaned(spark: SparkSession, sf: str, profile: str = "core") -> DataFrame:

@@ -87,18 +87,25 @@ def duckdb_ctes(*names: str) -> str:
                       for n in names)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread_scan: bool = False) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if spread_scan:
+        from tabprep.operators.partitioning import spread
+        df = spread(df)
+    return df
 
 
-def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The dirty fixture table: 17 string contract columns + record_id, copy_no."""
-    frames = {t: table(spark, sf_dir, t) for t in TABLES}
+def raw(spark: SparkSession, sf_dir: str, spread_scan: bool = False) -> DataFrame:
+    """The dirty fixture table: 17 string contract columns + record_id, copy_no.
+
+    ``spread_scan`` spreads the base-table scans (the fact side then drives the
+    joins with full parallelism); the joined result itself is not inspected."""
+    frames = {t: table(spark, sf_dir, t, spread_scan and t == "orders") for t in TABLES}
     text = "WITH " + RAW_CTES + "\nSELECT * FROM raw"
     return spark.sql(text, **frames)
 
 
-def preds(spark: SparkSession, sf_dir: str) -> DataFrame:
+def preds(spark: SparkSession, sf_dir: str, spread_scan: bool = False) -> DataFrame:
     """Scored rows (row_id, label, score, prediction, split) for the evaluators."""
     text = "WITH " + PREDS_CTE + "\nSELECT * FROM preds"
-    return spark.sql(text, orders=table(spark, sf_dir, "orders"))
+    return spark.sql(text, orders=table(spark, sf_dir, "orders", spread_scan))
