@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tabprep import constants as K
 from tabprep.operators import rank as R
+from tabprep.operators.partitioning import materialize
 
 
 # ------------------------------------------------------------------------ D01
@@ -116,7 +117,9 @@ def stratified_split(df: DataFrame, label: str, key_cols=None, test_fraction: fl
     key_cols = list(key_cols or [c for c in df.columns if c != label])
     cols = df.columns
     n_buckets = n_buckets or R.default_buckets(df)
-    collapsed = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
+    # collapsed once: it feeds the bucket totals (size-checked before broadcast)
+    # and the in-bucket ranks, so recomputing it would re-aggregate the input
+    collapsed = materialize(df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c")))
     work = collapsed.withColumns({
         "_o1": R.hash_order(key_cols),
         "_o2": F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])),
