@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterable
 
@@ -15,7 +16,18 @@ from tabprep.session import ensure_checkpoint_dir
 WORD_CHARS = r"[^\x20\x09-\x0D]+"
 
 
+def importable(spark: SparkSession) -> None:
+    """Python workers find this package where the driver found it, as they do
+    when it is installed or shipped with ``--py-files``."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -26,11 +38,16 @@ def stage(df: DataFrame) -> DataFrame:
     stays columnar, so later reads still prune columns.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tabprep-llm-{uuid.uuid4().hex}"
+    path = folder(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def folder(spark: SparkSession) -> str:
+    """A new folder below ``spark.checkpoint.dir``."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tabprep-llm-{uuid.uuid4().hex}"
+
+
 def require(df: DataFrame, columns: Iterable[str]) -> None:
     missing = [c for c in columns if c not in df.columns]
     if missing:
