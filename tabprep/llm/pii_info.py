@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabprep.llm.common import require, stage
+from tabprep.llm.common import let, require, stage
 
 #: Kinds of base spans in the order of ties, and the kind of added spans.
 KINDS = ("email", "ip", "card", "phone")
@@ -98,17 +98,17 @@ def _found(kind: str, text: Column) -> Column:
 
 
 def with_base(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """``df`` with ``_text`` (never null), ``_base`` (spans by start, then kind),
-    ``_entities`` (distinct values, digits only for cards and phones) and
-    ``_key`` (the row's id and the text's hash)."""
+    """``df`` with ``_text`` (never null), ``_base`` (spans by start, then kind)
+    and ``_entities`` (distinct values, digits only for cards and phones)."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    df = df.withColumn("_text", text)
-    found = df.withColumns({f"_{k}": _found(k, F.col("_text")) for k in KINDS})
-    found = found.withColumn("_base", F.array_sort(F.concat(*[F.col(f"_{k}") for k in KINDS]))).drop(*[f"_{k}" for k in KINDS])
     value = lambda s: F.concat(
         F.element_at(F.array(*map(F.lit, KINDS)), s["kind"] + 1), F.lit(":"),
         F.when(s["kind"] >= KINDS.index("card"), F.regexp_replace(s["value"], "[^0-9]", "")).otherwise(F.lower(s["value"])))
-    return found.withColumn("_entities", F.array_distinct(F.transform("_base", value)))
+    spans = lambda t: F.array_sort(F.concat(*[_found(k, t) for k in KINDS]))
+    both = let(text, lambda t: let(spans(t), lambda b: F.struct(
+        b.alias("base"), F.array_distinct(F.transform(b, value)).alias("entities"))))
+    found = df.withColumn("_text", text).withColumn("_found", both)
+    return found.select("*", F.col("_found.base").alias("_base"), F.col("_found.entities").alias("_entities")).drop("_found")
 
 
 def terms(text: Column) -> Column:
@@ -156,27 +156,28 @@ def annotate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", gene
     given = (some.select(*key, F.explode("_entities").alias("entity")).distinct().join(by_entity, "entity")
              .groupBy("_id", "_hash").agg(F.flatten(F.collect_list("terms")).alias("_terms")))
     some = some.select("*", *key).join(given, ["_id", "_hash"], "left").drop("_id", "_hash", "_entities")
-    some = some.withColumn("_names", F.transform("_terms", lambda t: t["term"])).withColumn(
-        "_gone", F.transform(F.filter("_terms", lambda t: t["removed"]), lambda t: t["term"]))
-    some = some.withColumn("_added", F.when(F.col("_terms").isNull(), none).otherwise(_term_spans())).drop("_terms", "_names", "_gone")
+    named = lambda t: F.transform(t, lambda x: x["term"])
+    gone = lambda t: F.transform(F.filter(t, lambda x: x["removed"]), lambda x: x["term"])
+    spans = let(named(F.col("_terms")), lambda n: let(gone(F.col("_terms")), lambda g: _term_spans(F.col("_text"), F.col("_base"), n, g)))
+    some = some.withColumn("_added", F.when(F.col("_terms").isNull(), none).otherwise(spans)).drop("_terms")
     return plain.unionByName(some)
 
 
-def _term_spans() -> Column:
-    """Spans of the words among ``_names`` that touch no base span."""
+def _term_spans(text: Column, base: Column, names: Column, gone: Column) -> Column:
+    """Spans of the words among ``names`` that touch no base span."""
     none = F.array().cast("array<struct<start:int,kind:int,end:int,removed:boolean>>")
     first = F.struct(F.lit(0).alias("at"), none.alias("out"))
 
     def add(state: Column, word: Column) -> Column:
         end = state["at"] + F.length(word)
-        free = ~F.exists(F.col("_base"), lambda b: (b["start"] < end) & (b["end"] > state["at"]))
+        free = ~F.exists(base, lambda b: (b["start"] < end) & (b["end"] > state["at"]))
         span = F.struct(state["at"].alias("start"), F.lit(len(KINDS)).alias("kind"), end.alias("end"),
-                        F.array_contains("_gone", word).alias("removed"))
-        hit = (F.length(word) >= LEAST_CHARS) & F.array_contains("_names", word)
+                        F.array_contains(gone, word).alias("removed"))
+        hit = (F.length(word) >= LEAST_CHARS) & F.array_contains(names, word)
         out = F.when(hit, F.when(free, F.concat(state["out"], F.array(span))).otherwise(state["out"])).otherwise(state["out"])
         return F.struct((end + 1).alias("at"), out.alias("out"))
 
-    return F.aggregate(terms(F.col("_text")), first, add, lambda s: s["out"])
+    return F.aggregate(terms(text), first, add, lambda s: s["out"])
 
 
 def _named(spans: Column) -> Column:

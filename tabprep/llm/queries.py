@@ -58,6 +58,12 @@ def op2_pii_information(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_info.report(table(spark, sf_dir, "documents"))
 
 
+@register("op3_decontaminate_simhash")
+def op3_decontaminate_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabprep.llm import decontam_simhash
+    return decontam_simhash.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 #: Queries of the vector search: every row whose id is divisible by this.
 QUERY_EVERY = 20
 

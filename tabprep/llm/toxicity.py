@@ -103,8 +103,9 @@ class Batch:
         self.by_word = np.argsort(self.word, kind="stable")
         self.use_at = np.searchsorted(self.word[self.by_word], np.arange(len(self.inverse)))
         by_bucket = np.argsort(self.bucket, kind="stable")
-        self.bucket_word = self.gram_word[by_bucket]
+        self.bucket_word = self.gram_word[by_bucket].astype(np.int32)
         self.bucket_at = np.searchsorted(self.bucket[by_bucket], np.arange(len(self.used)))
+        self.bucket, self.gram_word = self.bucket.astype(np.int32), np.zeros(0, np.int32)
 
     def step(self, grid: np.ndarray, soft: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, ...]:
         """Gradients of the softmax loss by used bucket, softmax and bias."""
@@ -201,9 +202,9 @@ def probability(words: list[bytes], margins: Margins) -> float:
     return 1 / (1 + math.exp(-margin)) if margin > -700 else 0.0
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
-                    sample_bytes: int = SAMPLE_BYTES) -> tuple[list[str], list[int]]:
-    """Whole texts and classes of the bounded sample of training rows."""
+def training_sample(docs: DataFrame, labels: DataFrame, sample_rows: int, sample_bytes: int) -> DataFrame:
+    """``doc_id, toxic, text`` of the bounded sample of training rows.  The
+    driver sees at most ``sample_rows`` ids and sizes, no text."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     ids = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
            .where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(fold(F.col("doc_id"), FOLDS) != 0)
@@ -212,16 +213,13 @@ def training_sample(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPL
     sizes = (own.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "toxic")
              .agg(F.max(F.octet_length("text")).alias("size")).collect())
     sizes.sort(key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id))
-    chosen, total = {}, 0
+    chosen, total = [], 0
     for row in sizes:
         if total + row.size <= sample_bytes:
-            chosen[row.doc_id] = row.toxic
+            chosen.append((row.doc_id, int(row.toxic > 0)))
             total += row.size
-    if not chosen:
-        return [], []
-    held = docs.sparkSession.createDataFrame([(k,) for k in chosen], "doc_id long")
-    texts = dict(own.join(F.broadcast(held), "doc_id").groupBy("doc_id").agg(F.max("text").alias("text")).collect())
-    return [texts[k] for k in chosen], [int(chosen[k] > 0) for k in chosen]
+    held = docs.sparkSession.createDataFrame(chosen, "doc_id long, toxic int")
+    return own.join(F.broadcast(held), "doc_id").groupBy("doc_id", "toxic").agg(F.max("text").alias("text"))
 
 
 def score(df: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
@@ -246,10 +244,20 @@ def score(df: DataFrame, model: Model, text_col: str = "text", score_col: str =
     return held.mapInArrow(run, schema)
 
 
-def learn(docs: DataFrame, labels: DataFrame, **bounds: int) -> Model:
+def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES) -> Model:
+    """Fit on the bounded sample, in one task; the driver gets the model."""
     require(docs, ["doc_id", "text"])
     require(labels, ["doc_id", "toxic"])
-    return fit(*training_sample(docs, labels, **bounds))
+
+    def train(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted(r for part in parts for r in zip(*(part.column(k).to_pylist() for k in range(3))))
+        model = fit([r[2] for r in rows], [r[1] for r in rows])
+        yield pa.RecordBatch.from_arrays([pa.array([model.bucket.tobytes()], pa.binary()), pa.array([model.bias])],
+                                         names=["bucket", "bias"])
+
+    sample = training_sample(docs, labels, sample_rows, sample_bytes)
+    row = sample.coalesce(1).mapInArrow(train, "bucket binary, bias double").first()
+    return Model(np.frombuffer(row.bucket, np.float32), row.bias) if row else fit([], [])
 
 
 def classify(docs: DataFrame, labels: DataFrame, **bounds: int) -> DataFrame:

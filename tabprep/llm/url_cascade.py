@@ -33,8 +33,9 @@ from tabprep.llm.common import ascii_lower, require, stage
 
 #: Bits of all levels together that may travel as literals (8 MiB).
 MAX_BITS = 1 << 26
-#: False-positive rate of every level but the first.
+#: False-positive rate of every level but the first, and hashes of a level at most.
 LOWER_RATE = 0.5
+MAX_HASHES = 6
 MAX_LEVELS = 64
 
 
@@ -92,12 +93,18 @@ class Level:
         return reduce(lambda a, b: a & b, tests)
 
 
+def level_size(n: int, rate: float) -> tuple[int, int]:
+    """Bits and hashes of a filter over ``n`` keys."""
+    rate = min(max(rate, 1e-9), LOWER_RATE)
+    hashes = max(1, min(MAX_HASHES, round(math.log2(1 / rate))))
+    return 64 * max(1, math.ceil(-n * hashes / math.log(1 - rate ** (1 / hashes)) / 64)), hashes
+
+
 def build_level(number: int, keys: DataFrame, n: int, rate: float) -> Level:
     """A Bloom filter over ``keys(key)``, ``n`` rows; words without a set bit
     are filled in on the driver, which sees ``bits / 64`` words at most."""
-    rate = min(max(rate, 1e-9), LOWER_RATE)
-    bits = 64 * max(1, math.ceil(n * math.log2(1 / rate) / math.log(2) / 64))
-    level = Level(number, bits, max(1, round(math.log2(1 / rate))), "")
+    bits, hashes = level_size(n, rate)
+    level = Level(number, bits, hashes, "")
     place = keys.select(F.explode(F.array(*level.places(F.col("key")))).alias("p"))
     one = F.expr("shiftleft(1L, cast(pmod(p, 64) AS INT))")
     rows = place.groupBy(F.floor(F.col("p") / 64).alias("w")).agg(F.bit_or(one).alias("b")).collect()
@@ -116,7 +123,7 @@ def cascade(universe: DataFrame) -> list[Level] | None:
     levels: list[Level] = []
     room = MAX_BITS
     while n:
-        room -= 64 + n * math.log2(1 / min(max(rate, 1e-9), LOWER_RATE)) / math.log(2)
+        room -= level_size(n, rate)[0]
         if room < 0:
             return None
         if len(levels) == MAX_LEVELS:
