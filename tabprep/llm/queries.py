@@ -97,6 +97,12 @@ def op6_warc_content_addressed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_cas.read(spark, place)
 
 
+@register("op7_gru_lm")
+def op7_gru_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabprep.llm import gru_lm
+    return gru_lm.score(table(spark, sf_dir, "documents"))
+
+
 @register("op8_simhash_trie")
 def op8_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabprep.llm import simhash_trie
