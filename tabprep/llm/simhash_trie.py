@@ -18,8 +18,9 @@
 
 Defined results: null texts count as empty; a text without words has
 fingerprint zero and is linked like any other; rows with a null id keep their
-row and take no part in the component's smallest id; repeated rows repeat; an
-empty table gives an empty result.
+row and take no part in the component's smallest id (null if no row has one);
+repeated rows repeat, except in ``keep_one``, where one row of each component
+stays; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -38,6 +39,8 @@ from tabprep.llm.components import components
 
 BITS = 64
 SEED = 42
+#: Stands for a missing id in comparisons.
+NO_ID = (1 << 63) - 1
 #: Fingerprints below one top node that a task walks against each other.
 GROUP = 2048
 #: Node pairs walked at once.
@@ -66,16 +69,22 @@ def fingerprint(words: list[bytes], width: int) -> int:
 
 
 def with_fingerprints(df: DataFrame, width: int, text_col: str, id_col: str) -> DataFrame:
-    """``doc_id, fp`` (long: the 64 bits as a signed number), one row per row."""
+    """``doc_id, key, fp``, one row per row; ``key`` is a hash of the text, ``fp``
+    the 64 bits as a signed number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [fingerprint(words_of(t), width) for t in batch.column(1).to_pylist()]
+            fps = [fingerprint(words_of(t.as_py()), width) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.array(fps, dtype=np.uint64).view(np.int64))], names=["doc_id", "fp"])
+                [batch.column(0), batch.column(1), pa.array(np.array(fps, dtype=np.uint64).view(np.int64))],
+                names=["doc_id", "key", "fp"])
 
-    held = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("t"))
-    return held.mapInArrow(run, "doc_id long, fp long")
+    held = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_key(text_col), F.col(f"`{text_col}`").cast("string").alias("t"))
+    return held.mapInArrow(run, "doc_id long, key long, fp long")
+
+
+def text_key(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))).alias("key")
 
 
 # ------------------------------------------------------------------ the trie
@@ -246,29 +255,40 @@ def _walked(batch: pa.RecordBatch, budget: int) -> pa.RecordBatch:
 
 
 # ----------------------------------------------------------------- operator
-def near_duplicates(df: DataFrame, width: int = 4, budget: int = 4, text_col: str = "text", id_col: str = "doc_id",
-                    blocks: int | None = None) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` for every row of ``df``."""
+def grouped(df: DataFrame, width: int, budget: int, text_col: str, id_col: str, blocks: int | None = None) -> DataFrame:
+    """``doc_id, key, fp, component_id`` and ``kept`` (id and key of the row that
+    stands for the component; rows without an id come last)."""
     require(df, [text_col, id_col])
     docs = stage(with_fingerprints(df, width, text_col, id_col))
-    distinct = stage(docs.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    order = F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.col("key").alias("key"))
+    distinct = stage(docs.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min(order).alias("first")))
     roots = components(links(distinct.select("fp"), budget, blocks))
     named = distinct.join(roots, distinct.fp == roots.node, "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
-    ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = named.join(ids, "root").select("fp", "component_id")
-    return docs.join(by_fp, "fp").select(
+        "fp", "least", "first", F.coalesce("root", "fp").alias("root"))
+    ids = named.groupBy("root").agg(F.min("least").alias("component_id"), F.min("first").alias("kept"))
+    by_fp = named.join(ids, "root").select("fp", "component_id", "kept")
+    return docs.join(by_fp, "fp")
+
+
+def near_duplicates(df: DataFrame, width: int = 4, budget: int = 4, text_col: str = "text", id_col: str = "doc_id",
+                    blocks: int | None = None) -> DataFrame:
+    """``doc_id, fingerprint, component_id`` for every row of ``df``."""
+    return grouped(df, width, budget, text_col, id_col, blocks).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(df: DataFrame, width: int = 4, budget: int = 4, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """Rows of ``df`` without the near-duplicates: of each component the row
-    with the smallest id stays (of rows that repeat that id, one); rows without
-    an id stay."""
-    found = near_duplicates(df, width, budget, text_col, id_col)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    first = df.join(kept, F.col(f"`{id_col}`").cast("long") == F.col("_kept"), "left_semi")
-    repeated = df.where(F.col(f"`{id_col}`").isNotNull()).groupBy(f"`{id_col}`").count().where("count > 1")
-    again = first.join(repeated.select(F.col(f"`{id_col}`").alias("_again")), F.col(f"`{id_col}`") == F.col("_again"), "left_semi")
-    once = first.join(repeated.select(F.col(f"`{id_col}`").alias("_again")), F.col(f"`{id_col}`") == F.col("_again"), "left_anti")
-    return once.unionByName(again.dropDuplicates([id_col])).unionByName(df.where(F.col(f"`{id_col}`").isNull()))
+    """``df`` with one row of each component: the one with the smallest id.
+    The rows to drop are written first, so their size is known when the join
+    is planned."""
+    rows = grouped(df, width, budget, text_col, id_col)
+    own = F.coalesce("doc_id", F.lit(NO_ID))
+    drop = stage(rows.where((own != F.col("kept.id")) | (F.col("key") != F.col("kept.key")))
+                 .select(own.alias("_id"), F.col("key").alias("_key")).distinct())
+    again = stage(rows.groupBy(own.alias("_id"), F.col("key").alias("_key")).count().where("count > 1").select("_id", "_key"))
+    here = (F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)) == F.col("_id")) & (text_key(text_col) == F.col("_key"))
+    left = df.join(drop, here, "left_anti")
+    if again.isEmpty():
+        return left
+    # rows that repeat id and text: one of each stays
+    return left.join(again, here, "left_anti").unionByName(left.join(again, here, "left_semi").dropDuplicates([id_col, text_col]))

@@ -40,22 +40,23 @@ GRAMS = (3, 4, 5, 6)
 BUCKETS = 1 << 17
 DIM = 4
 EPOCHS = 8
+#: Steps at least; small samples are read more often.
+LEAST_STEPS = 640
 BATCH = 50
-#: Occurrences in the sample's distinct words that a bucket needs.
-LEAST_WORDS = 3
+#: Texts of the sample whose words a bucket needs to occur in.
+LEAST_TEXTS = 5
 #: Zero vectors that every text's mean holds besides: a single odd word decides nothing.
 PAD = 20.0
 #: Weight of a word that occurs k times.
 DAMPED = [0.0] + [1 + math.log(k) for k in range(1, 256)]
 RATE = 1.0
-DECAY = 0.0
 #: Factor on a text's mean, which a few telling words among hundreds move little.
 SCALE = 100.0
 SEED = 7
 SAMPLE_ROWS = 4000
 SAMPLE_BYTES = 24 << 20
-#: Words kept by a worker before its cache starts anew.
-CACHE_WORDS = 400_000
+#: Words in one generation of a worker's cache.
+CACHE_WORDS = 300_000
 
 
 def grams(word: bytes) -> list[int]:
@@ -67,8 +68,9 @@ def grams(word: bytes) -> list[int]:
         parts = [text[i:i + n].encode("utf-8", "replace") for n in GRAMS for i in range(len(text) - n + 1)]
     else:
         parts = [marked[i:i + n] for n in GRAMS for i in range(len(marked) - n + 1)]
-    mask = BUCKETS - 1
-    return [zlib.crc32(p) & mask for p in parts + [marked]]
+    parts.append(marked)
+    mask, crc = BUCKETS - 1, zlib.crc32
+    return [crc(p) & mask for p in parts]
 
 
 @dataclass
@@ -79,9 +81,6 @@ class Model:
     bucket: np.ndarray
     bias: float
 
-    def word(self, word: bytes) -> float:
-        return float(self.bucket[grams(word)].mean())
-
 
 @dataclass
 class Batch:
@@ -133,7 +132,11 @@ class Batch:
 def batches(texts: list[str], y: np.ndarray) -> Iterator[Batch]:
     bags = [Counter(words_of(text)) for text in texts]
     words = {w: np.array(grams(w), dtype=np.int32) for w in set().union(*bags)}
-    held = np.bincount(np.concatenate([*words.values(), np.zeros(0, np.int32)]), minlength=BUCKETS) >= LEAST_WORDS
+    texts_of = Counter(w for b in bags for w in b)
+    held = np.zeros(BUCKETS, np.int64)
+    for w, found in words.items():
+        held[found] += texts_of[w]
+    held = held >= LEAST_TEXTS
     for at in range(0, len(bags), BATCH):
         own, number = bags[at:at + BATCH], {}
         doc = np.repeat(np.arange(len(own)), [len(b) for b in own])
@@ -144,7 +147,7 @@ def batches(texts: list[str], y: np.ndarray) -> Iterator[Batch]:
         size = np.array([len(x) for x in lists], dtype=np.float32)
         bucket = np.concatenate(lists + [np.zeros(0, np.int32)])
         gram_word = np.repeat(np.arange(len(lists)), size.astype(np.int64))
-        kept = held[bucket]  # a bucket that few words share says little: it stays zero
+        kept = held[bucket]  # a bucket of few texts says little: it stays zero
         yield Batch(y[at:at + BATCH], doc, word, share, gram_word[kept], bucket[kept], 1 / size[:, None])
 
 
@@ -162,13 +165,13 @@ def fit(texts: list[str], toxic: list[int], epochs: int = EPOCHS) -> Model:
     soft, bias = rng.normal(0, 0.5, (DIM, 2)).astype(np.float32), np.zeros(2, np.float32)
     seen, seen_soft, seen_bias = np.full((BUCKETS, DIM), 1e-8, np.float32), np.full_like(soft, 1e-8), np.full(2, 1e-8)
     touched = np.zeros(BUCKETS, bool)
+    epochs = max(epochs, -(-LEAST_STEPS // len(steps)))
     for epoch in range(epochs):
         rate = RATE * (1 - epoch / epochs)
         for k in rng.permutation(len(steps)):
             b = steps[k]
             g, gs, gb = b.step(grid, soft, bias)
             touched[b.used] = True
-            g += DECAY * grid[b.used]
             seen[b.used] += g * g
             grid[b.used] -= rate * g / np.sqrt(seen[b.used])
             seen_soft += gs * gs
@@ -180,16 +183,22 @@ def fit(texts: list[str], toxic: list[int], epochs: int = EPOCHS) -> Model:
 
 
 class Margins(dict):
-    """Margin of each word, computed once while it stays in the cache."""
+    """Margin of each word, computed when it is first met.  Two generations
+    bound the size: words still in use move from the old one to the young."""
 
     def __init__(self, model: Model):
         super().__init__()
-        self.model = model
+        self.model, self.table, self.old = model, model.bucket.tolist(), {}
 
     def __missing__(self, word: bytes) -> float:
+        value = self.old.get(word)
+        if value is None:
+            found = grams(word)
+            value = sum(map(self.table.__getitem__, found)) / len(found)
         if len(self) >= CACHE_WORDS:
+            self.old = dict(self)
             self.clear()
-        value = self[word] = self.model.word(word)
+        self[word] = value
         return value
 
 
