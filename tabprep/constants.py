@@ -21,11 +21,6 @@ BUSINESS_KEY = [
     "income", "source_system",
 ]
 
-CATEGORICAL_CLEAN_COLUMNS = [
-    "workclass", "education_level", "marital_status", "occupation", "relationship",
-    "race", "sex", "native_country", "income", "random_flag", "source_system",
-]
-
 NUMERIC_CLEAN_COLUMNS = ["education_num", "capital_gain", "capital_loss", "hours_per_week"]
 
 CURATED_COLUMNS = [

@@ -35,12 +35,6 @@ def dedup_by_key(df: DataFrame, keys=K.BUSINESS_KEY, tie_break=None) -> DataFram
     return packed.select(*keys, *[F.col(f"_s.{c}").alias(c) for c in fields]).select(*df.columns)
 
 
-def dedup_by_key_any(df: DataFrame, keys=K.BUSINESS_KEY) -> DataFrame:
-    """Key-only form: arbitrary survivor (``dropDuplicates``), for when only keys
-    or counts are consumed."""
-    return df.dropDuplicates(list(keys))
-
-
 # ------------------------------------------------------------------------ D05
 def row_hash(cols) -> F.Column:
     return F.md5(F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in cols]))
@@ -116,10 +110,10 @@ def stratified_split(df: DataFrame, label: str, key_cols=None, test_fraction: fl
     re-expanded in chunks."""
     key_cols = list(key_cols or [c for c in df.columns if c != label])
     cols = df.columns
-    n_buckets = n_buckets or R.default_buckets(df)
     # collapsed once: it feeds the bucket totals (size-checked before broadcast)
     # and the in-bucket ranks, so recomputing it would re-aggregate the input
     collapsed = materialize(df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c")))
+    n_buckets = n_buckets or R.default_buckets(collapsed)
     work = collapsed.withColumns({
         "_o1": R.hash_order(key_cols),
         "_o2": F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])),

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,7 +32,15 @@ def classification_metrics(pred: DataFrame, label: str = "label", prediction: st
     Weights are the true-class shares (the rule of the multiclass evaluator);
     a class's precision is 0 when it is never predicted."""
     groups = list(groups)
-    conf = pred.groupBy(*groups, label, prediction).agg(F.count(F.lit(1)).alias("n"))
+    out = _metrics(pred.groupBy(*groups, label, prediction).agg(F.count(F.lit(1)).alias("n")), label, prediction, groups)
+    if digits is not None:
+        out = out.select(*groups, *[F.round(c, digits).alias(c) for c in
+                                    ("accuracy", "weighted_precision", "weighted_recall", "f1")])
+    return out
+
+
+def _metrics(conf: DataFrame, label: str, prediction: str, groups: list) -> DataFrame:
+    """Metrics of a confusion table ``(groups, label, prediction, n)``."""
     # per class c: n_c (true), p_c (predicted), tp_c -- one row per (group, class)
     per_class = conf.select(*groups, F.inline(F.array(
         F.struct(F.col(label).cast("double").alias("cls"), F.col("n").alias("n_true"), F.lit(0).cast("long").alias("n_pred"),
@@ -45,30 +52,39 @@ def classification_metrics(pred: DataFrame, label: str = "label", prediction: st
     prec = F.when(F.col("n_pred") > 0, F.col("tp") / F.col("n_pred")).otherwise(F.lit(0.0))
     rec = F.when(F.col("n_true") > 0, F.col("tp") / F.col("n_true")).otherwise(F.lit(0.0))
     f1 = F.when(prec + rec > 0, 2 * prec * rec / (prec + rec)).otherwise(F.lit(0.0))
-    out = per_class.groupBy(*groups).agg(
+    return per_class.groupBy(*groups).agg(
         (F.sum("tp") / F.sum("n_true")).alias("accuracy"),
         (F.sum(F.col("n_true") * prec) / F.sum("n_true")).alias("weighted_precision"),
         (F.sum(F.col("n_true") * rec) / F.sum("n_true")).alias("weighted_recall"),
         (F.sum(F.col("n_true") * f1) / F.sum("n_true")).alias("f1"),
     )
-    if digits is not None:
-        out = out.select(*groups, *[F.round(c, digits).alias(c) for c in
-                                    ("accuracy", "weighted_precision", "weighted_recall", "f1")])
-    return out
+
+
+def by_score(pred: DataFrame, cols) -> DataFrame:
+    """Predictions collapsed to their distinct ``cols`` with a count ``_n``,
+    written once: every metric is read from this small table."""
+    return materialize(pred.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n")))
 
 
 def roc_auc(pred: DataFrame, label: str = "label", score: str = "score", groups=(),
             n_buckets: int | None = None) -> DataFrame:
     """Exact tie-averaged ROC-AUC per group,
-    ``sum_s pos_s * (neg_before_s + neg_s / 2) / (P * N)``."""
-    groups = list(groups)
-    by_score = materialize(pred.groupBy(*groups, score).agg(
-        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")))
-    by_score = R.with_quantile_bucket(by_score, score, n_buckets or R.default_buckets(pred))
-    pref = R.exclusive_prefix(by_score, [score], ["pos", "neg"], groups)
+    ``sum_s pos_s * (neg_before_s + neg_s / 2) / (P * N)``; NULL for a group
+    that holds one class only."""
+    return _auc(by_score(pred, [*groups, score, label]), label, score, list(groups), n_buckets)
+
+
+def _auc(counted: DataFrame, label: str, score: str, groups: list, n_buckets: int | None) -> DataFrame:
+    scores = counted.groupBy(*groups, score).agg(
+        F.sum(F.when(F.col(label) == 1, F.col("_n")).otherwise(0)).alias("pos"),
+        F.sum(F.when(F.col(label) == 1, 0).otherwise(F.col("_n"))).alias("neg"))
+    scores = R.with_quantile_bucket(scores, score, n_buckets or R.default_buckets(counted))
+    pref = R.exclusive_prefix(scores, [score], ["pos", "neg"], groups)
+    # products of counts leave the range of a long at a few billion rows
+    real = lambda c: F.col(c).cast("double")
+    pairs = F.max(real("pos_total")) * F.max(real("neg_total"))
     return pref.groupBy(*groups).agg(
-        (F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2.0))
-         / (F.max("pos_total") * F.max("neg_total"))).alias("roc_auc"))
+        F.try_divide(F.sum(real("pos") * (real("neg_before") + real("neg") / 2.0)), pairs).alias("roc_auc"))
 
 
 def overfit_gap(pred: DataFrame, label: str = "label", score: str = "score", split: str = "split",
@@ -83,13 +99,15 @@ def overfit_gap(pred: DataFrame, label: str = "label", score: str = "score", spl
 
 def evaluate(pred: DataFrame, label: str = "label", prediction: str = "prediction", score: str = "score",
              groups=(), digits: int | None = None) -> DataFrame:
-    """All five metrics per group.  The two aggregates (confusion metrics and
-    AUC; one row per group each) are unioned and folded per group, so no join
-    -- and never a cartesian product -- is planned."""
+    """All five metrics per group from one pass over the predictions: they are
+    collapsed by (groups, score, prediction, label) first.  The two aggregates
+    (one row per group each) are unioned and folded per group, so no join -- and
+    never a cartesian product -- is planned."""
     groups = list(groups)
     names = ["accuracy", "weighted_precision", "weighted_recall", "f1", "roc_auc"]
-    m = classification_metrics(pred, label, prediction, groups)
-    a = roc_auc(pred, label, score, groups)
+    counted = by_score(pred, [*groups, score, prediction, label])
+    m = _metrics(counted.groupBy(*groups, label, prediction).agg(F.sum("_n").alias("n")), label, prediction, groups)
+    a = _auc(counted, label, score, groups, None)
     both = m.unionByName(a, allowMissingColumns=True)
     folded = (both.groupBy(*groups) if groups else both).agg(*[F.max(c).alias(c) for c in names])
     if digits is not None:
@@ -97,11 +115,6 @@ def evaluate(pred: DataFrame, label: str = "label", prediction: str = "predictio
     return folded
 
 
-def positive_score(probability: str = "probability", index: int = 1) -> Column:
-    """Probability of the class at ``index`` (the positive label's index)."""
-    return vector_to_array(F.col(probability)).getItem(index)
-
-
 # ------------------------------------------------------------------------ V11
 def linear_score(weights: dict, bias: float = 0.0) -> Column:
     """Logistic score with fixed weights: ``1 / (1 + exp(-(b + sum w*x)))``;

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tabprep import constants as K
 from tabprep.operators import rank as R
+from tabprep.operators.partitioning import materialize
 from tabprep.operators.schema import standardize_name
 
 
@@ -59,24 +60,50 @@ def onehot_stage(cols) -> OneHotEncoder:
                          handleInvalid="keep")
 
 
-def fit_vocabulary(df: DataFrame, cols, missing: str = "unknown") -> dict:
-    """Sorted distinct values per column (the one-hot vocabulary); bounded by
-    the columns' cardinality, which one-hot encoding presumes small."""
+#: Distinct values of one column that one-hot encoding takes on.
+MAX_CATEGORIES = 1000
+
+
+class CardinalityError(ValueError):
+    pass
+
+
+def fit_vocabulary(df: DataFrame, cols, missing: str = "unknown", max_categories: int = MAX_CATEGORIES) -> dict:
+    """Sorted distinct values per column (the one-hot vocabulary).  The values
+    are counted first; a column with more than ``max_categories`` is an error,
+    never a shortened list."""
     long = df.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.coalesce(F.col(c), F.lit(missing)).alias("value")) for c in cols])))
+    values = materialize(long.distinct())
+    for r in values.groupBy("column_name").agg(F.count(F.lit(1)).alias("n")).collect():  # one row per column
+        if r["n"] > max_categories:
+            raise CardinalityError(f"{r['column_name']} has {r['n']} values, more than {max_categories}")
     vocab: dict = {c: [] for c in cols}
-    for r in long.distinct().orderBy("column_name", "value").collect():
+    for r in values.orderBy("column_name", "value").collect():
         vocab[r["column_name"]].append(r["value"])
     return vocab
 
 
+def indicator_names(col: str, values) -> list[str]:
+    """``<col>__<value>`` per value; a value whose name is taken gets the
+    first free number, in the order of the values."""
+    names: list[str] = []
+    for value in values:
+        plain = name = f"{col}__{standardize_name(value)}"
+        number = 2
+        while name in names:
+            name, number = f"{plain}__{number}", number + 1
+        names.append(name)
+    return names
+
+
 def onehot_ignore(df: DataFrame, cols, vocab: dict | None = None, missing: str = "unknown", keep=()) -> DataFrame:
-    """Indicator columns ``<col>__<value>``; unseen values -> all zeros."""
+    """Indicator columns per value; unseen values -> all zeros."""
     vocab = vocab if vocab is not None else fit_vocabulary(df, cols, missing)
     ind = []
     for c in cols:
         x = F.coalesce(F.col(c), F.lit(missing))
-        ind += [(x == F.lit(v)).cast("int").alias(f"{c}__{standardize_name(v)}") for v in vocab[c]]
+        ind += [(x == F.lit(v)).cast("int").alias(name) for v, name in zip(vocab[c], indicator_names(c, vocab[c]))]
     return df.select(*keep, *ind)
 
 
@@ -153,12 +180,11 @@ def build_pipeline(prep: list, estimator=None) -> Pipeline:
 
 # ------------------------------------------------------------------------ M13
 def class_weights(df: DataFrame, label: str = K.LABEL_COLUMN, out: str = "class_weight") -> DataFrame:
-    """Balanced weights ``n / (k * n_c)`` joined back by label.  The per-class
-    table has one row per class; it is broadcast only after its size check."""
+    """Balanced weights ``n / (k * n_c)`` joined back by label."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n_c"))
     w = counts.withColumn("_tot", F.sum("_n_c").over(_whole())).withColumn("_k", F.count(F.lit(1)).over(_whole()))
     w = w.select(label, (F.col("_tot") / (F.col("_k") * F.col("_n_c"))).alias(out))
-    return df.join(R.broadcast_if_small(w), on=label, how="left")
+    return df.join(w, on=label, how="left")
 
 
 def _whole():

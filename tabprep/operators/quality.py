@@ -134,25 +134,25 @@ def distinct_labels(df: DataFrame, label: str = K.LABEL_COLUMN) -> DataFrame:
     return df.select(label).distinct()
 
 
+def _rows_and_distinct(df: DataFrame, cols) -> DataFrame:
+    """``rows`` and ``distinct_rows`` from one scan: the distinct rows carry
+    their counts (NULLs compare equal)."""
+    groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    return groups.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("rows"), F.count(F.lit(1)).alias("distinct_rows"))
+
+
 def duplicate_count(df: DataFrame, cols=None) -> DataFrame:
-    """rows, distinct rows and exact duplicates (NULL-safe: NULLs compare equal)."""
-    cols = cols or df.columns
-    total = row_count(df).withColumn("k", F.lit(0))
-    distinct = df.select(*cols).distinct().agg(F.count(F.lit(1)).alias("distinct_count"))
-    long = _long(total.drop("k"), ["row_count"]).unionByName(_long(distinct, ["distinct_count"]))
-    wide = _wide_from_long(long, ["row_count", "distinct_count"])
-    return wide.select("row_count", "distinct_count",
-                       (F.col("row_count") - F.col("distinct_count")).alias("duplicate_count"))
+    """rows, distinct rows and exact duplicates."""
+    return _rows_and_distinct(df, cols or df.columns).select(
+        F.col("rows").alias("row_count"), F.col("distinct_rows").alias("distinct_count"),
+        (F.col("rows") - F.col("distinct_rows")).alias("duplicate_count"))
 
 
 def dedup_impact(df: DataFrame, keys=K.BUSINESS_KEY) -> DataFrame:
     """Before, after and removed counts for a business-key dedup."""
-    before = _long(row_count(df), ["row_count"])
-    after = _long(df.select(*keys).distinct().agg(F.count(F.lit(1)).alias("after")), ["after"])
-    wide = _wide_from_long(before.unionByName(after), ["row_count", "after"])
-    return wide.select(F.col("row_count").alias("before_dedup_count"),
-                       F.col("after").alias("after_dedup_count"),
-                       (F.col("row_count") - F.col("after")).alias("business_key_duplicate_count"))
+    return _rows_and_distinct(df, keys).select(
+        F.col("rows").alias("before_dedup_count"), F.col("distinct_rows").alias("after_dedup_count"),
+        (F.col("rows") - F.col("distinct_rows")).alias("business_key_duplicate_count"))
 
 
 # ------------------------------------------------------------------------ A14

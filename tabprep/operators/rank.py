@@ -7,8 +7,8 @@ The helpers here keep the work distributed:
    order: the top bits of a uniform hash, or the position among at most
    ``n`` approximate-quantile boundaries (collected once; a bounded list);
 2. per-bucket totals (at most buckets x groups rows) get exclusive prefix
-   offsets with a tiny window and come back through a broadcast whose size
-   is checked first;
+   offsets with a small window and come back through an equi-join that adaptive
+   execution broadcasts or shuffles by their real size;
 3. a window *within* each (group, bucket) finishes the prefix sum.
 
 Callers collapse duplicates first (group by value with a count) so a value
@@ -23,20 +23,13 @@ from pyspark.sql import functions as F
 
 from tabprep.operators.partitioning import materialize
 
-# A broadcast side built here is at most this many rows; beyond it the join
-# falls back to a shuffle join.
-MAX_BROADCAST_ROWS = 1_000_000
+#: Rows of one bucket, which is one task of the window inside buckets.
+BUCKET_ROWS = 50_000
 
 
 def default_buckets(df: DataFrame) -> int:
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(8, min(4 * parts, 1 << 16))
-
-
-def broadcast_if_small(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``small`` for broadcast only after checking its row count."""
-    n = small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small
+    """Buckets for a frame whose count is cheap (a materialised one)."""
+    return max(8, -(-df.count() // BUCKET_ROWS))
 
 
 def hash_order(cols) -> Column:
@@ -57,7 +50,7 @@ def with_quantile_bucket(df: DataFrame, col: str, n_buckets: int, out: str = "_b
     The boundary list has at most ``n_buckets - 1`` values (bounded), is
     computed once and is then a literal, so the bucket is deterministic."""
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = df.select(F.percentile_approx(F.col(col).cast("double"), probs, 10_000).alias("b")).first()["b"] or []
+    bounds = df.select(F.percentile_approx(F.col(col).cast("double"), probs, max(10_000, 20 * n_buckets)).alias("b")).first()["b"] or []
     splits = [float("-inf")] + sorted(set(float(b) for b in bounds)) + [float("inf")]
     tmp = df.withColumn("_qv", F.col(col).cast("double"))
     res = Bucketizer(splits=splits, inputCol="_qv", outputCol=out, handleInvalid="keep").transform(tmp)
@@ -81,7 +74,7 @@ def exclusive_prefix(df: DataFrame, order_cols: list, weight_cols: list, groups:
         *[F.coalesce(F.sum(f"_t_{w}").over(w_before), F.lit(0)).alias(f"_o_{w}") for w in weight_cols],
         *([F.sum(f"_t_{w}").over(w_all).alias(f"{w}_total") for w in weight_cols] if with_total else []),
     )
-    joined = df.join(broadcast_if_small(offs), on=[*groups, bucket], how="inner")
+    joined = df.join(offs, on=[*groups, bucket], how="inner")
     w_in = (Window.partitionBy(*groups, bucket).orderBy(*order)
             .rowsBetween(Window.unboundedPreceding, -1))
     out = joined.withColumns({
@@ -102,10 +95,10 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: list, groups: list = (
     """Linear-interpolated exact quantiles (the rule of SQL ``percentile`` /
     ``quantile_cont``) per group, from value counts and prefix sums."""
     names = names or [f"q{int(round(p * 100))}" for p in probs]
-    # the value-count table feeds three actions (boundaries, size check,
+    # the value-count table feeds three actions (bucket number, boundaries,
     # result): compute it once
     vc = materialize(value_counts(df, value_col, groups))
-    vc = with_quantile_bucket(vc, value_col, n_buckets or default_buckets(df))
+    vc = with_quantile_bucket(vc, value_col, n_buckets or default_buckets(vc))
     pref = exclusive_prefix(vc, [value_col], ["n"], groups)
     aggs = []
     for p, name in zip(probs, names):

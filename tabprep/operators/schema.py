@@ -22,9 +22,8 @@ class ContractError(ValueError):
 
 # ------------------------------------------------------------------------ P01
 def standardize_name(name: str) -> str:
-    """strip, lower, non-alphanumeric runs -> ``_``, collapse, trim ``_``."""
-    value = re.sub(r"[^0-9a-zA-Z]+", "_", str(name).strip().lower())
-    return re.sub(r"_+", "_", value).strip("_")
+    """The name's ASCII letter and digit runs, lower-cased and joined by ``_``."""
+    return "_".join(re.findall("[0-9a-z]+", str(name).lower()))
 
 
 def standardize_columns(df: DataFrame, aliases: dict | None = None) -> DataFrame:
@@ -45,9 +44,13 @@ def apply_aliases(df: DataFrame, aliases: dict = K.FIELD_ALIASES) -> DataFrame:
 
 # ------------------------------------------------------------------------ P03
 def contract_diff(columns, expected=K.CONTRACT_COLUMNS):
-    """(missing, extra) name lists, both sorted."""
-    actual = set(columns)
-    return sorted(set(expected) - actual), sorted(actual - set(expected))
+    """Names the source lacks and names beyond the contract, each in order."""
+    have, want = dict.fromkeys(columns), dict.fromkeys(expected)
+    return sorted(n for n in want if n not in have), sorted(n for n in have if n not in want)
+
+
+def _reject(missing) -> None:
+    raise ContractError(f"the source lacks {len(missing)} contract column(s): {', '.join(missing)}")
 
 
 def schema_contract(df: DataFrame, expected=K.CONTRACT_COLUMNS, raise_on_missing: bool = False) -> DataFrame:
@@ -56,7 +59,7 @@ def schema_contract(df: DataFrame, expected=K.CONTRACT_COLUMNS, raise_on_missing
     The row count is a distributed aggregate; the name lists are metadata."""
     missing, extra = contract_diff(df.columns, expected)
     if missing and raise_on_missing:
-        raise ContractError(f"Schema validation failed. Missing columns: {missing}")
+        _reject(missing)
     ordered = [c for c in expected if c in df.columns]
 
     def arr(values):
@@ -74,7 +77,7 @@ def schema_contract(df: DataFrame, expected=K.CONTRACT_COLUMNS, raise_on_missing
 def enforce_contract(df: DataFrame, expected=K.CONTRACT_COLUMNS) -> DataFrame:
     missing, _ = contract_diff(df.columns, expected)
     if missing:
-        raise ContractError(f"Schema validation failed. Missing columns: {missing}")
+        _reject(missing)
     return df
 
 
@@ -104,11 +107,6 @@ def column_metadata(spark: SparkSession, df: DataFrame) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
-# ------------------------------------------------------------------------ P07
-def with_raw_copies(df: DataFrame, cols) -> DataFrame:
-    return df.withColumns({f"{c}_raw": F.col(c) for c in cols})
-
-
 # ------------------------------------------------------------------------ P08
 def curated_projection(df: DataFrame, audit: bool = False, keep=()) -> DataFrame:
     cols = K.AUDIT_COLUMNS if audit else K.CURATED_COLUMNS
@@ -132,13 +130,13 @@ def with_lineage(df: DataFrame, now: datetime | str | None = None, pipeline_vers
 
 # ------------------------------------------------------------------------ P10
 def model_frame(df: DataFrame, feature_set: str = "full", label: str = K.LABEL_COLUMN,
-                fill_unknown: bool = True, valid_only: bool = True) -> DataFrame:
+                fill_unknown: bool = True, valid_only: bool = True, keep=()) -> DataFrame:
     """label + 5 numeric + categorical features (full / compact7 / compact6).
 
     Applies the valid-label filter (F02) and the ``Unknown`` fill (C08) in the
     same Project/Filter, so the scan reads only these columns."""
     cats = K.FEATURE_SETS[feature_set]
-    cols = [F.col(label)] + [F.col(c) for c in K.NUMERIC_FEATURES]
+    cols = [F.col(c) for c in (*keep, label, *K.NUMERIC_FEATURES)]
     cols += [F.coalesce(F.col(c), F.lit(K.UNKNOWN_CATEGORY)).alias(c) if fill_unknown else F.col(c) for c in cats]
     out = df.select(*cols)
     if valid_only:

@@ -1,17 +1,25 @@
 """Registered queries: model fits, comparison, importance and scoring
 (N01-N07, V07, V08 on fitted runs, V10).  Fitted models are not
-SQL-expressible, so these carry no oracle (rows-only check); their
-invariants are covered in tests/test_ml.py."""
+SQL-expressible, so these carry no oracle (rows-only check); their companions
+(split sizes, confusion totals, scored vocabulary) have one, and
+tests/test_io_ml.py covers the fits."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tabprep import constants as K
+from tabprep.operators import dedup as D
+from tabprep.operators import schema as S
+from tabprep.operators.partitioning import materialize
 from tabprep.plans import train as TR
 from tabprep.plans.score import score
-from tabprep.registry import curated, register
+from tabprep.registry import CORE_CUR, KEEP, curated, raw, register, with_ctes
+from tabprep.sources import io
 
-RUN_COLS = ["run_name", "model_type", "config_order", "is_best", "train_accuracy", "test_accuracy", "test_precision",
+RAW_ONLY = with_ctes()
+
+RUN_COLS = ["run_name", "model_type", "config_order", "is_best", *TR.COUNT_FIELDS, "train_accuracy", "test_accuracy", "test_precision",
             "test_recall", "test_f1_score", "test_roc_auc", "roc_auc_overfit_gap"]
 
 
@@ -82,3 +90,67 @@ def q_hist_gbt(spark, sf):
     """Histogram-GBT configuration (220 rounds, lr 0.06) mapped to MLlib GBT."""
     res = TR.run_sweep(curated(spark, sf), [TR.JOB_CONFIGS["hist_gbt"]])
     return res.runs.select(*RUN_COLS)
+
+
+# --------------------------------------------- checkable companions of the fits
+_KEY = " || '|' || ".join(f"coalesce({c}::VARCHAR, '')" if c not in ("event_time_std",) else
+                          "coalesce(strftime(event_time_std, '%Y-%m-%d %H:%M:%S'), '')" for c in K.BUSINESS_KEY)
+_SPLIT = (f"CASE WHEN ('0x' || substr(md5({_KEY}), 1, 8))::BIGINT % 100 < 80 THEN 'train' ELSE 'test' END")
+_VALID = "FROM curated WHERE income IN ('<=80k', '>80k')"
+
+
+@register("fit_split_counts", CORE_CUR + f"""
+    SELECT split, income, count(*) AS rows FROM (SELECT {_SPLIT} AS split, income {_VALID}) GROUP BY ALL""")
+def q_fit_split_counts(spark, sf):
+    """Rows and labels on each side of the split that every fit uses, uncapped."""
+    mf = TR.model_input(curated(spark, sf), TR.JOB_CONFIGS["compact_xgb"])
+    return mf.groupBy("split", "income").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("compact_run_counts", CORE_CUR + f"""
+    SELECT 'compact_dt' AS run_name, least(8000, count(*) FILTER (split = 'train'))::BIGINT AS fit_row_count,
+        count(*) FILTER (split = 'train') AS train_row_count, count(*) FILTER (split = 'test') AS test_row_count
+    FROM (SELECT {_SPLIT} AS split {_VALID})""")
+def q_compact_run_counts(spark, sf):
+    """The bound cuts fit rows only: the run is evaluated on every row."""
+    return TR.run_sweep(curated(spark, sf), [TR.JOB_CONFIGS["compact_dt"]]).runs.select("run_name", *TR.COUNT_FIELDS)
+
+
+@register("confusion_total_lr", CORE_CUR + f"""
+    SELECT (income = '>80k')::INTEGER::DOUBLE AS label, count(*) AS rows
+    FROM (SELECT {_SPLIT} AS split, income {_VALID}) WHERE split = 'test' GROUP BY 1""")
+def q_confusion_total(spark, sf):
+    """Every test row is predicted once: the confusion table's sums by label."""
+    cfg = TR.JOB_CONFIGS["lr"]
+    p = TR.run_sweep(curated(spark, sf), [cfg]).test_predictions[cfg.run_name]
+    return p.groupBy("label", "prediction").count().groupBy("label").agg(F.sum("count").alias("rows"))
+
+
+@register("random_split_total", CORE_CUR + f"SELECT count(*) AS rows, 0::BIGINT AS shared {_VALID}")
+def q_random_split_total(spark, sf):
+    """The native split loses and repeats nothing."""
+    rows = S.model_frame(curated(spark, sf), keep=["event_time_std"]).withColumn("n", F.lit(1))
+    numbered = materialize(rows.withColumn("id", F.monotonically_increasing_id()))
+    train, test = D.random_split(numbered)
+    sides = train.select("id", F.lit(1).alias("a"), F.lit(0).alias("b")).union(test.select("id", F.lit(0), F.lit(1)))
+    each = sides.groupBy("id").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    return each.agg(F.sum(F.col("a") + F.col("b")).alias("rows"), F.count_if((F.col("a") > 0) & (F.col("b") > 0)).alias("shared"))
+
+
+@register("request_ingest", RAW_ONLY + """
+    SELECT record_id, copy_no, spelling, age, education_level, education_num, hours_per_week, capital_gain, event_time AS event_time_std
+    FROM raw, (VALUES ('kebab'), ('snake'), ('spaced'), ('upper')) AS s(spelling)""")
+def q_request_ingest(spark, sf):
+    """Requests as JSON text under four spellings of every key give the same rows."""
+    fields = ["age", "education_level", "education_num", "hours_per_week", "capital_gain", "event_time"]
+    spell = {"kebab": lambda n: n.replace("_", "-"), "snake": lambda n: n, "spaced": lambda n: f" {n.replace('_', ' ').title()} ",
+             "upper": lambda n: n.upper()}
+    out = None
+    for name, f in spell.items():
+        record = F.struct(*[F.col(c).alias(f(c)) for c in fields])
+        request = raw(spark, sf).select(*KEEP, F.to_json(F.struct(F.lit(name).alias("model"), F.array(record).alias("records"))).alias("j"))
+        parsed = request.select(*KEEP, F.from_json("j", io.REQUEST_SCHEMA).alias("r")).select(
+            F.struct(*KEEP, F.lit(name).alias("spelling")).alias("model"), F.col("r.records").alias("records"))
+        rows = io.explode_records(parsed).select("model.*", *fields[:-1], "event_time_std")
+        out = rows if out is None else out.unionByName(rows)
+    return out

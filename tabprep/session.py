@@ -9,7 +9,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -43,19 +42,18 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder; create a scratch one only when none is set
-    (local tests).  On a cluster ``spark.checkpoint.dir`` names shared storage."""
+    """Return the checkpoint folder: ``spark.checkpoint.dir`` names shared
+    storage; without it, one below the warehouse is set."""
     value = checkpoint_dir(spark)
     if value:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(value)
         return spark.sparkContext.getCheckpointDir() or value
-    master = spark.sparkContext.master or ""
-    if not master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for lineage cuts")
-    path = tempfile.mkdtemp(prefix="tabprep-ckpt-")
+    # unset (tests): a folder of its own below the warehouse, which is shared
+    # wherever tables are
+    path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
     spark.sparkContext.setCheckpointDir(path)
-    return path
+    return spark.sparkContext.getCheckpointDir() or path
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tabprep",
