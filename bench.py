@@ -79,7 +79,7 @@ def main():
 
     def curate_job():
         run_curate(raw, "bench_db.curated", "bench_db.dq", tie_break=KEEP, source_path=raw_pq, now=NOW,
-                   fmt="parquet")
+                   fmt="parquet", enforce_gates=False)
     timed("curate_job_publish_validate", curate_job)
     timed("feature_frame", lambda: noop(build_features(cleaned("service"), keep=KEEP)))
     timed("profile_lineitem", lambda: P.profile(lineitem).collect())

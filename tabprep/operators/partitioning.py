@@ -9,6 +9,8 @@ partitions (any multi-file source at scale) it is a no-op and adds no shuffle.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 
@@ -23,10 +25,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the cluster's shared
-    checkpoint folder (``spark.checkpoint.dir``): later actions read the copy
-    instead of recomputing the plan, and a lost executor does not force a
+    """Cut lineage: write ``df`` as Parquet below the cluster's shared checkpoint
+    folder (``spark.checkpoint.dir``) and read it back.  Later actions read the
+    columns they need of the copy, and a lost executor does not force a
     recomputation from the sources."""
     from tabprep.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tabprep-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

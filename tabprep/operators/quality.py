@@ -167,6 +167,7 @@ def time_failure_count(mode: str = "raw_present", raw: str = "event_time", parse
 
 
 # ------------------------------------------------------------------------ A13
+# Metric names of the two metric tables (output contract).
 CORE_METRICS = [
     "raw_row_count", "curated_row_count", "raw_duplicate_count", "business_key_duplicate_count",
     "invalid_token_count", "invalid_age_count", "invalid_hours_per_week_count", "invalid_record_count",
@@ -181,25 +182,36 @@ AUDIT_METRICS = [
 ]
 
 
-def dq_metrics(raw: DataFrame, curated: DataFrame, profile: str = "core", source_path: str = "",
-               now: datetime | str | None = None, contract=K.CONTRACT_COLUMNS) -> DataFrame:
+RAW_PREFIX = "_source_"
+
+
+def dq_frame(raw: DataFrame, profile: str = "core", keep=(), contract=K.CONTRACT_COLUMNS) -> DataFrame:
+    """Cleaned rows with what the raw-side metrics need besides: ``_err`` (a cell
+    holds an error token) and the source's text of each contract column.  Written
+    once, it serves the metrics, the gates and the dedup."""
+    if profile == "audit":
+        # the pipeline variant scans the contract columns and counts duplicates
+        # on trimmed, blank-to-NULL text
+        err = any_error_token(contract, K.ERROR_TOKEN_PATTERN_PIPE)
+        source = [trim_to_null(c, K.NULL_TOKENS_PIPE).alias(RAW_PREFIX + c) for c in contract]
+    else:
+        err = any_error_token(raw.columns, K.ERROR_TOKEN_PATTERN)
+        source = [F.col(c).alias(RAW_PREFIX + c) for c in contract]
+    return clean_frame(raw, profile, keep=[*keep, err.alias("_err"), *source])
+
+
+def dq_metrics(raw: DataFrame | None, curated: DataFrame, profile: str = "core", source_path: str = "",
+               now: datetime | str | None = None, contract=K.CONTRACT_COLUMNS, cleaned: DataFrame | None = None) -> DataFrame:
     """The DQ metric table: scalar metrics + ``null_count__<col>`` per curated
     column, with ``source_path`` and ``measured_at``, ordered by name.
 
-    Three aggregates do all the work: (1) one pass over raw with the cleaning
-    expressions inlined (row count, error tokens, parse/label/cast failures),
-    (2) distinct raw rows, (3) one pass over ``curated`` (row count, ranges,
-    nulls).  They are unioned in long form and combined by conditional
-    aggregation, so no join is needed."""
+    Three aggregates do all the work: (1) one pass over the cleaned rows (row
+    count, error tokens, parse/label/cast failures), (2) distinct source rows,
+    (3) one pass over ``curated`` (row count, ranges, nulls).  They are unioned
+    in long form and combined by conditional aggregation, so no join is needed.
+    ``cleaned``: a written :func:`dq_frame`, else it is derived from ``raw``."""
     label = "income" if profile == "core" else "income_label"
-    pattern = K.ERROR_TOKEN_PATTERN if profile == "core" else K.ERROR_TOKEN_PATTERN_PIPE
-    raw_cols = [c for c in raw.columns if c in contract] if profile == "audit" else raw.columns
-    if profile == "audit":
-        # the pipeline variant scans the trimmed, blank-to-NULL contract columns
-        err = any_error_token(contract, pattern).alias("_err")
-    else:
-        err = any_error_token(raw_cols, pattern).alias("_err")
-    cleaned = clean_frame(raw, profile, keep=[err])
+    cleaned = cleaned if cleaned is not None else dq_frame(raw, profile, contract=contract)
 
     if profile == "core":
         a = cleaned.agg(
@@ -224,12 +236,7 @@ def dq_metrics(raw: DataFrame, curated: DataFrame, profile: str = "core", source
         a_names = ["raw_row_count", "error_token_count", "timestamp_parse_failures", "label_failures",
                    "age_cast_failures", "numeric_cast_failure_count"]
 
-    if profile == "audit":
-        # the pipeline variant counts duplicates on trimmed, blank-to-NULL text
-        distinct_src = raw.select(*[trim_to_null(c, K.NULL_TOKENS_PIPE).alias(c) for c in contract])
-    else:
-        distinct_src = raw.select(*contract)
-    b = distinct_src.distinct().agg(F.count(F.lit(1)).alias("_raw_distinct"))
+    b = cleaned.select(*[RAW_PREFIX + c for c in contract]).distinct().agg(F.count(F.lit(1)).alias("_raw_distinct"))
 
     null_names = [f"null_count__{c}" for c in curated.columns]
     c_aggs = [F.count(F.lit(1)).alias("curated_row_count")]
@@ -268,7 +275,8 @@ def dq_metrics(raw: DataFrame, curated: DataFrame, profile: str = "core", source
 def gate_report(curated: DataFrame, label: str = K.LABEL_COLUMN, numeric_failures: DataFrame | None = None,
                 missing_columns=()) -> DataFrame:
     """(gate, observed, passed) for the fail-fast checks, from one aggregate over
-    the curated frame (plus the optional cast-failure table)."""
+    the curated frame plus the cast failures: a cast-failure table, or the rows
+    of a metric table that hold them."""
     agg = curated.agg(
         F.count(F.lit(1)).alias("row_count"),
         F.count_if(F.col(label).isNotNull() & ~F.col(label).isin(*K.LABELS)).alias("label_drift"),
@@ -283,7 +291,8 @@ def gate_report(curated: DataFrame, label: str = K.LABEL_COLUMN, numeric_failure
         F.struct(F.lit("invalid_hours_per_week").alias("gate"), F.col("invalid_hours").cast("long").alias("observed")),
     )))
     if numeric_failures is not None:
-        nf = numeric_failures.agg(F.coalesce(F.sum("cast_failure_count"), F.lit(0)).cast("long").alias("observed"))
+        column = "metric_value" if "metric_value" in numeric_failures.columns else "cast_failure_count"
+        nf = numeric_failures.agg(F.coalesce(F.sum(column), F.lit(0)).cast("long").alias("observed"))
         gates = gates.unionByName(nf.select(F.lit("numeric_cast_failures").alias("gate"), "observed"))
     return gates.withColumn("passed", F.col("observed") == 0)
 

@@ -1,11 +1,11 @@
-"""Entry A: dirty source -> contract -> clean -> business-key dedup -> curated
-table + DQ metric table -> gates -> publish -> read-back validation.
+"""Entry A: dirty source -> contract -> clean -> business-key dedup -> DQ metric
+table -> gates -> publish -> read-back validation.
 
-The curated frame is computed once and checkpointed to the cluster's shared
-checkpoint folder; DQ metrics, gates, publish and validation all read that
-copy instead of recomputing clean + dedup (the source job re-ran the lineage
-for ~21 separate actions).  The raw-side metrics need one more pass over the
-source, fused into a single aggregate.
+The source is read and cleaned once: the cleaned rows, with the source's text
+beside them, are written as a columnar staging table in the shared checkpoint
+folder.  Dedup and DQ metrics read the columns they need from it, the gates
+take the cast failures from the metric table, and a failed gate stops the job
+before anything is published.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tabprep import constants as K
 from tabprep.operators import dedup as D
@@ -32,37 +33,46 @@ class CurateResult:
     published_rows: int | None
 
 
-def curate(raw: DataFrame, profile: str = "core", tie_break=(), now: datetime | str | None = None) -> DataFrame:
-    """clean (one Project) -> dedup by business key -> publish projection + lineage (lazy)."""
+def _curated(cleaned: DataFrame, profile: str, tie_break, now) -> DataFrame:
     audit = profile == "audit"
-    cleaned = clean(raw, profile, keep=list(tie_break))
     keys = [("income_label" if k == "income" else k) for k in K.BUSINESS_KEY] if audit else K.BUSINESS_KEY
     survivors = D.dedup_by_key(cleaned, keys, tie_break=list(tie_break))
     return S.with_lineage(S.curated_projection(survivors, audit=audit), now=now,
                           pipeline_version="v1" if audit else None)
 
 
+def curate(raw: DataFrame, profile: str = "core", tie_break=(), now: datetime | str | None = None) -> DataFrame:
+    """clean (one Project) -> dedup by business key -> publish projection + lineage (lazy)."""
+    return _curated(clean(raw, profile, keep=list(tie_break)), profile, tie_break, now)
+
+
 def run_curate(raw: DataFrame, target_table: str | None = None, dq_table: str | None = None,
                profile: str = "core", tie_break=(), source_path: str = "", now=None,
-               enforce_gates=None, fmt: str | None = None) -> CurateResult:
+               enforce_gates: bool | list[str] = True, fmt: str | None = None) -> CurateResult:
     """The whole batch job.  ``raw`` may carry messy headers (standardised
-    here) and extra columns (kept only when named in ``tie_break``)."""
+    here) and extra columns (kept only when named in ``tie_break``).
+
+    ``enforce_gates``: every gate (the default), the named ones, or none
+    (``False``).  The metric table is written even if a gate fails, so that the
+    failure can be looked into; the target is not."""
     spark = raw.sparkSession
     std = S.standardize_columns(raw)
+    missing, _ = S.contract_diff(std.columns)
     S.enforce_contract(std)
     src = std.select(*tie_break, *K.CONTRACT_COLUMNS)
-    curated = materialize(curate(src, profile, tie_break, now))
-    dq = Q.dq_metrics(src, curated, profile, source_path, now)
+    staged = materialize(Q.dq_frame(src, profile, keep=list(tie_break)))
+    names = [c for c in staged.columns if c != "_err" and not c.startswith(Q.RAW_PREFIX)]
+    curated = materialize(_curated(staged.select(*names), profile, tie_break, now))
+    dq = materialize(Q.dq_metrics(None, curated, profile, source_path, now, cleaned=staged)).orderBy("metric_name")
     label = "income_label" if profile == "audit" else "income"
-    gates = Q.gate_report(curated, label=label,
-                          numeric_failures=Q.cast_failure_table(clean(src, profile),
-                                                                count_errors=profile == "audit"))
-    if enforce_gates is not None:
+    gates = Q.gate_report(curated, label=label, missing_columns=missing,
+                          numeric_failures=dq.where(F.col("metric_name") == "numeric_cast_failure_count"))
+    if dq_table:
+        io.publish(dq, dq_table, fmt)
+    if enforce_gates:
         Q.enforce(gates, gates=None if enforce_gates is True else enforce_gates)
     published = None
     if target_table:
         io.publish(curated, target_table, fmt)
         published = io.validate_publish(spark, target_table, curated)
-    if dq_table:
-        io.publish(dq, dq_table, fmt)
     return CurateResult(curated, dq, gates, published)
