@@ -7,6 +7,7 @@ from tabprep.functions import features as X
 from tabprep.operators.features import build_features
 from tabprep.registry import KEEP, SERVICE, cleaned, register, table
 from tabprep.sources import oracle_sql as O
+from tabprep.sources import oracle_values as V
 
 
 def _bucket_sql(x, edges, labels):
@@ -43,12 +44,12 @@ def _features_sql() -> str:
         "age_x_education": "age * education_num",
     })
     cols.update(_time_sql("event_time_std"))
-    cols["age_bucket"] = _bucket_sql("age", *K.AGE_BUCKETS)
-    cols["hours_bucket"] = _bucket_sql("hours_per_week", *K.HOURS_BUCKETS)
-    cols["education_group"] = _bucket_sql("education_num", *K.EDUCATION_BUCKETS)
+    cols["age_bucket"] = _bucket_sql("age", *V.AGE_BUCKETS)
+    cols["hours_bucket"] = _bucket_sql("hours_per_week", *V.HOURS_BUCKETS)
+    cols["education_group"] = _bucket_sql("education_num", *V.EDUCATION_BUCKETS)
     m = f"COALESCE({O.clean_category('marital_status')}, '')"
     cols["marital_group"] = "(CASE " + " ".join(
-        f"WHEN contains({m}, '{n}') THEN '{lab}'" for n, lab in K.MARITAL_GROUPS) + " ELSE 'unknown' END)"
+        f"WHEN contains({m}, '{n}') THEN '{lab}'" for n, lab in V.MARITAL_GROUPS) + " ELSE 'unknown' END)"
     key = f"regexp_replace(lower({O.clean_category('native_country')}), '[^0-9a-z]+', '', 'g')"
     cols["is_us_native"] = f"CASE WHEN COALESCE({key} = 'unitedstates', false) THEN 'yes' ELSE 'no' END"
     order = K.MODEL_NUMERIC_FEATURES + K.MODEL_CATEGORICAL_FEATURES

@@ -6,15 +6,18 @@ tests/test_io_ml.py covers the fits."""
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tabprep import constants as K
 from tabprep.operators import dedup as D
 from tabprep.operators import schema as S
 from tabprep.operators.partitioning import materialize
+from tabprep.operators import prep as M
+from tabprep.plans import service as SV
 from tabprep.plans import train as TR
 from tabprep.plans.score import score
-from tabprep.registry import CORE_CUR, KEEP, curated, raw, register, with_ctes
+from tabprep.registry import CLEAN_SERVICE_CTE, CORE, CORE_CUR, KEEP, cleaned, curated, raw, register, with_ctes
 from tabprep.sources import io
 
 RAW_ONLY = with_ctes()
@@ -50,7 +53,7 @@ def q_xgb_job(spark, sf):
     return res.runs.select(*RUN_COLS)
 
 
-for _name in ("compact_lr", "compact_dt", "compact_gbt", "compact_xgb", "balanced_lr"):
+for _name in ("compact_lr", "compact_dt", "compact_gbt", "compact_xgb"):
     def _mk(n):
         def q(spark, sf):
             res = TR.run_sweep(curated(spark, sf), [TR.JOB_CONFIGS[n]], fallback=True)
@@ -85,11 +88,24 @@ def q_batch_score(spark, sf):
     return score(records, full, cfg.run_name)
 
 
+@register("balanced_lr_runs")
+def q_balanced_lr(spark, sf):
+    """Balanced logistic regression on the service's engineered features."""
+    return SV.train_service(raw(spark, sf), TR.JOB_CONFIGS["balanced_lr"], KEEP)[1]
+
+
 @register("hist_gbt_runs")
 def q_hist_gbt(spark, sf):
-    """Histogram-GBT configuration (220 rounds, lr 0.06) mapped to MLlib GBT."""
-    res = TR.run_sweep(curated(spark, sf), [TR.JOB_CONFIGS["hist_gbt"]])
-    return res.runs.select(*RUN_COLS)
+    """Boosted trees (220 rounds, rate 0.06) on the service's engineered features."""
+    return SV.train_service(raw(spark, sf), TR.JOB_CONFIGS["hist_gbt"], KEEP)[1]
+
+
+@register("service_score")
+def q_service_score(spark, sf):
+    """Every source row scored through the service's cleaning and preparation."""
+    cfg = TR.ModelConfig("service_lr", "LogisticRegression", {"maxIter": 20}, weight_col="class_weight")
+    model, _ = SV.train_service(raw(spark, sf), cfg, KEEP)
+    return model.score(raw(spark, sf).drop("income"), keep=KEEP)
 
 
 # --------------------------------------------- checkable companions of the fits
@@ -154,3 +170,66 @@ def q_request_ingest(spark, sf):
         rows = io.explode_records(parsed).select("model.*", *fields[:-1], "event_time_std")
         out = rows if out is None else out.unionByName(rows)
     return out
+
+
+_SORT = ("('0x' || substr(md5(record_id || '|' || copy_no), 1, 15))::BIGINT, "
+         "md5(record_id || '|' || copy_no || '|' || income)")
+_SIDES = f"""sides AS (SELECT *, CASE WHEN rn < round(cnt * 0.8) THEN 'train' ELSE 'test' END AS split FROM (
+    SELECT *, row_number() OVER (PARTITION BY income ORDER BY {_SORT}) - 1 AS rn, count(*) OVER (PARTITION BY income) AS cnt
+    FROM clean_s WHERE income IN ('<=80k', '>80k')))"""
+
+
+@register("service_split_counts", with_ctes(CLEAN_SERVICE_CTE, _SIDES) + """
+    SELECT split, income, count(*) AS rows FROM sides GROUP BY ALL""")
+def q_service_split_counts(spark, sf):
+    return SV.split_rows(raw(spark, sf), KEEP).groupBy("split", "income").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("service_assembled", with_ctes(CLEAN_SERVICE_CTE, _SIDES, """filled AS (
+    SELECT record_id, copy_no, split, coalesce(age, (SELECT median(age) FROM sides WHERE split = 'train')) AS age,
+        coalesce(hours_per_week, (SELECT median(hours_per_week) FROM sides WHERE split = 'train')) AS hours,
+        coalesce(capital_gain, 0.0) - coalesce(capital_loss, 0.0) AS net, sex FROM sides),
+    m AS (SELECT avg(age) AS a, stddev_pop(age) AS sa, avg(hours) AS h, stddev_pop(hours) AS sh, avg(net) AS n, stddev_pop(net) AS sn
+          FROM filled WHERE split = 'train'),
+    known AS (SELECT DISTINCT sex FROM filled WHERE split = 'train')""") + """
+    SELECT record_id, copy_no, split, round((age - a) / sa, 6) AS age_scaled, round((hours - h) / sh, 6) AS hours_per_week_scaled,
+        round((net - n) / sn, 6) AS capital_net_scaled, (sex IN (SELECT sex FROM known))::INTEGER AS sex_on FROM filled, m""")
+def q_service_assembled(spark, sf):
+    """The assembled frame: medians, moments and vocabularies of the training side."""
+    rows = SV.split_rows(raw(spark, sf), KEEP)
+    preparation = SV.fit_preparation(rows.where("split = 'train'"))
+    frame = preparation.apply(rows, [*KEEP, "split"])
+    sexes = M.indicator_names("sex", preparation.vocabulary["sex"])
+    return frame.select(*KEEP, "split", *[F.round(f"{c}_scaled", 6).alias(f"{c}_scaled") for c in ("age", "hours_per_week", "capital_net")],
+                        sum(F.col(c) for c in sexes).alias("sex_on"))
+
+
+@register("service_score_total", with_ctes() + "SELECT count(*) AS rows, 0::BIGINT AS odd FROM raw")
+def q_service_score_total(spark, sf):
+    """Every record gets one prediction of the vocabulary and a probability."""
+    out = q_service_score(spark, sf)
+    good = F.col("prediction").isin(*K.LABELS) & F.col("probability_gt_80k").between(0, 1)
+    return out.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~F.coalesce(good, F.lit(False))).alias("odd"))
+
+
+@register("impute_approx_median_error", CORE + """
+    SELECT 'age' AS column_name, count(age) AS present, quantile_disc(age, 0.5)::DOUBLE AS lower_median FROM clean""")
+def q_impute_approx_error(spark, sf):
+    """The approximate imputer's value is the lower median to within its accuracy
+    (exact at this accuracy while the distinct values are fewer)."""
+    rows = cleaned(spark, sf)
+    fitted = M.imputer_stage(["age"]).setRelativeError(0.0).fit(rows.select(F.col("age").cast("double").alias("age")))
+    value = fitted.surrogateDF.first()["age"]
+    return rows.agg(F.lit("age").alias("column_name"), F.count("age").alias("present"), F.lit(float(value)).alias("lower_median"))
+
+
+@register("onehot_keep_array", CORE + """
+    SELECT record_id, copy_no, sex, rank AS slot FROM clean LEFT JOIN (
+        SELECT sex, (row_number() OVER (ORDER BY count(*) DESC, sex) - 1)::DOUBLE AS rank FROM clean WHERE sex IS NOT NULL GROUP BY sex) USING (sex)
+    WHERE sex IS NOT NULL""")
+def q_onehot_keep_array(spark, sf):
+    """The keep encoder's only set slot of every known category."""
+    rows = cleaned(spark, sf).select(*KEEP, "sex").where("sex IS NOT NULL")
+    fitted = M.build_pipeline(M.category_stages(["sex"]) + [M.onehot_stage(["sex"])]).fit(rows)
+    slots = vector_to_array("sex_ohe")
+    return fitted.transform(rows).select(*KEEP, "sex", (F.array_position(slots, F.lit(1.0)) - 1).cast("double").alias("slot"))

@@ -11,6 +11,7 @@ from tabprep.operators import quality as Q
 from tabprep.registry import (AUDIT, AUDIT_CUR, CORE, CORE_CUR, FIXED_NOW, KEEP, SOURCE_PATH, cleaned, curated,
                               ntz, raw, register, with_ctes)
 from tabprep.sources import oracle_sql as O
+from tabprep.sources import oracle_values as V
 
 RAW_ONLY = with_ctes()
 CONTRACT = ", ".join(K.CONTRACT_COLUMNS)
@@ -28,7 +29,7 @@ def q_row_count(spark, sf):
 
 # ------------------------------------------------------------------- A02-A04
 @register("raw_null_counts", RAW_ONLY + "SELECT " + ", ".join(_count_if(
-    f"{c} IS NULL OR trim({c}) IN ({O.in_list(K.RAW_NULL_TOKENS)})", c) for c in K.CONTRACT_COLUMNS) + " FROM raw")
+    f"{c} IS NULL OR trim({c}) IN ({O.in_list(V.RAW_NULL_TOKENS)})", c) for c in K.CONTRACT_COLUMNS) + " FROM raw")
 def q_raw_null_counts(spark, sf):
     return Q.raw_null_counts(raw(spark, sf), K.CONTRACT_COLUMNS)
 
@@ -148,12 +149,12 @@ def _cast_fail_sql(cte: str, count_errors: bool, pattern: str) -> str:
     return " UNION ALL ".join(parts)
 
 
-@register("cast_failure_table", CORE + _cast_fail_sql("clean", False, K.ERROR_TOKEN_PATTERN))
+@register("cast_failure_table", CORE + _cast_fail_sql("clean", False, V.ERROR_TOKEN_PATTERN))
 def q_cast_failure_table(spark, sf):
     return Q.cast_failure_table(cleaned(spark, sf))
 
 
-@register("cast_failure_table_audit", AUDIT + _cast_fail_sql("clean_a", True, K.ERROR_TOKEN_PATTERN_PIPE))
+@register("cast_failure_table_audit", AUDIT + _cast_fail_sql("clean_a", True, V.ERROR_TOKEN_PATTERN_PIPE))
 def q_cast_failure_table_audit(spark, sf):
     return Q.cast_failure_table(cleaned(spark, sf, "audit"), count_errors=True)
 
@@ -189,7 +190,7 @@ GATE_SQL = CORE_CUR + (
     "UNION ALL SELECT 'invalid_age', count(*) FILTER (WHERE age < 0 OR age > 120) FROM curated "
     "UNION ALL SELECT 'invalid_hours_per_week', count(*) FILTER (WHERE hours_per_week < 0 OR hours_per_week > 168) FROM curated "
     "UNION ALL SELECT 'numeric_cast_failures', CAST(sum(cast_failure_count) AS BIGINT) FROM ("
-    + _cast_fail_sql("clean", False, K.ERROR_TOKEN_PATTERN) + "))")
+    + _cast_fail_sql("clean", False, V.ERROR_TOKEN_PATTERN) + "))")
 
 
 @register("gate_report", GATE_SQL)
@@ -212,7 +213,7 @@ def _dq_core_sql() -> str:
         "label_drift_count": "(SELECT count(*) FROM clean WHERE income IS NOT NULL AND income NOT IN ('<=80k', '>80k'))",
         "label_normalization_failure_count": "(SELECT count(*) FROM clean WHERE income_raw IS NOT NULL AND income IS NULL)",
         "numeric_cast_failure_count": "(SELECT CAST(sum(cast_failure_count) AS BIGINT) FROM ("
-                                      + _cast_fail_sql("clean", False, K.ERROR_TOKEN_PATTERN) + "))",
+                                      + _cast_fail_sql("clean", False, V.ERROR_TOKEN_PATTERN) + "))",
     }
     scalars["invalid_record_count"] = " + ".join(scalars[k] for k in (
         "invalid_token_count", "invalid_age_count", "invalid_hours_per_week_count",
@@ -233,7 +234,7 @@ AUD_COLS = K.AUDIT_COLUMNS + ["processed_at", "pipeline_version"]
 
 def _dq_audit_sql() -> str:
     trimmed = ", ".join(f"{O.trim_to_null(c, ())} AS {c}" for c in K.CONTRACT_COLUMNS)
-    err = O.any_error(K.CONTRACT_COLUMNS, K.ERROR_TOKEN_PATTERN_PIPE)
+    err = O.any_error(K.CONTRACT_COLUMNS, V.ERROR_TOKEN_PATTERN_PIPE)
     scalars = {
         "raw_row_count": "(SELECT count(*) FROM raw)",
         "curated_row_count": "(SELECT count(*) FROM curated_a)",
@@ -244,7 +245,7 @@ def _dq_audit_sql() -> str:
         "label_failures": "(SELECT count(*) FROM clean_a WHERE income_raw IS NOT NULL AND income_label IS NULL)",
         "age_cast_failures": "(SELECT count(*) FROM clean_a WHERE age_raw IS NOT NULL AND age IS NULL)",
         "numeric_cast_failure_count": "(SELECT CAST(sum(cast_failure_count) AS BIGINT) FROM ("
-                                      + _cast_fail_sql("clean_a", True, K.ERROR_TOKEN_PATTERN_PIPE) + "))",
+                                      + _cast_fail_sql("clean_a", True, V.ERROR_TOKEN_PATTERN_PIPE) + "))",
     }
     rows = [f"SELECT '{k}' AS metric_name, CAST({v} AS BIGINT) AS metric_value" for k, v in scalars.items()]
     rows += [f"SELECT 'null_count__{c}', CAST((SELECT count(*) FROM curated_a WHERE {c} IS NULL) AS BIGINT)"

@@ -11,6 +11,7 @@ by ``^[0-9]{4}-`` (DuckDB accepts shapes Spark rejects).
 from __future__ import annotations
 
 from tabprep import constants as K
+from tabprep.sources import oracle_values as V
 
 
 def lit(v: str) -> str:
@@ -21,7 +22,7 @@ def in_list(values) -> str:
     return ", ".join(lit(v) for v in values)
 
 
-def trim_to_null(c: str, tokens=K.NULL_TOKENS_CORE) -> str:
+def trim_to_null(c: str, tokens=V.NULL_TOKENS_CORE) -> str:
     t = f"trim(CAST({c} AS VARCHAR))"
     cond = f"{t} = ''"
     if tokens:
@@ -29,7 +30,7 @@ def trim_to_null(c: str, tokens=K.NULL_TOKENS_CORE) -> str:
     return f"(CASE WHEN {c} IS NULL OR {cond} THEN NULL ELSE {t} END)"
 
 
-def clean_age(x: str, reject_error=True, pattern=K.ERROR_TOKEN_PATTERN) -> str:
+def clean_age(x: str, reject_error=True, pattern=V.ERROR_TOKEN_PATTERN) -> str:
     v = f"lower(trim({x}))"
     d = f"regexp_extract({v}, '([0-9]+)', 1)"
     bad = f"{v} IS NULL OR {v} = '' OR {d} = ''"
@@ -38,7 +39,7 @@ def clean_age(x: str, reject_error=True, pattern=K.ERROR_TOKEN_PATTERN) -> str:
     return f"(CASE WHEN {bad} THEN NULL ELSE TRY_CAST({d} AS INTEGER) END)"
 
 
-def clean_numeric(x: str, strict=True, pattern=K.ERROR_TOKEN_PATTERN) -> str:
+def clean_numeric(x: str, strict=True, pattern=V.ERROR_TOKEN_PATTERN) -> str:
     v = f"lower(trim({x}))"
     nc = f"replace({v}, ',', '')"
     mult = f"(CASE WHEN regexp_matches({nc}, 'k$') THEN 1000.0 ELSE 1.0 END)"
@@ -51,11 +52,11 @@ def clean_numeric(x: str, strict=True, pattern=K.ERROR_TOKEN_PATTERN) -> str:
 
 def normalize_label(x: str, vocab="core") -> str:
     key = f"lower(regexp_replace(trim({x}), '\\s+', '', 'g'))"
-    parts = " ".join(f"WHEN {key} IN ({in_list(sp)}) THEN {lit(lab)}" for lab, sp in K.LABEL_VOCAB[vocab].items())
+    parts = " ".join(f"WHEN {key} IN ({in_list(sp)}) THEN {lit(lab)}" for lab, sp in V.LABEL_VOCAB[vocab].items())
     return f"(CASE {parts} ELSE NULL END)"
 
 
-def clean_category(x: str, tokens=K.NULL_TOKENS_SERVICE) -> str:
+def clean_category(x: str, tokens=V.NULL_TOKENS_SERVICE) -> str:
     v = f"lower({trim_to_null(x, tokens)})"
     return f"(CASE WHEN {v} IS NULL OR starts_with({v}, 'error') THEN 'unknown' ELSE {v} END)"
 
@@ -94,16 +95,16 @@ def _default_parse(t: str) -> str:
 def parse_event_time(x: str, order="iso_first") -> str:
     t = f"trim({x})"
     if order == "iso_first":
-        parts = [_default_parse(t), epoch_to_ts(t)] + [_fmt(t, f) for f in K.DAY_FIRST_FORMATS + K.MONTH_FIRST_FORMATS]
+        parts = [_default_parse(t), epoch_to_ts(t)] + [_fmt(t, f) for f in V.DAY_FIRST_FORMATS + V.MONTH_FIRST_FORMATS]
     elif order == "formats_first":
-        parts = [_fmt(t, f) for f in K.ISO_FORMATS + K.DAY_FIRST_FORMATS + K.MONTH_FIRST_FORMATS] + [epoch_to_ts(t)]
+        parts = [_fmt(t, f) for f in V.ISO_FORMATS + V.DAY_FIRST_FORMATS + V.MONTH_FIRST_FORMATS] + [epoch_to_ts(t)]
     else:
         parts = [epoch_to_ts(t, keep_millis=True), _default_parse(t)]
-        parts += [_fmt(t, f) for f in K.MONTH_FIRST_FORMATS + K.DAY_FIRST_FORMATS]
+        parts += [_fmt(t, f) for f in V.MONTH_FIRST_FORMATS + V.DAY_FIRST_FORMATS]
     return "CAST(COALESCE(" + ", ".join(parts) + ") AS TIMESTAMP)"
 
 
-def any_error(cols, pattern=K.ERROR_TOKEN_PATTERN) -> str:
+def any_error(cols, pattern=V.ERROR_TOKEN_PATTERN) -> str:
     return "(" + " OR ".join(
         f"COALESCE(regexp_matches(lower(trim(CAST({c} AS VARCHAR))), '{pattern}'), false)" for c in cols) + ")"
 
@@ -132,8 +133,8 @@ def clean_core_select() -> str:
 
 
 def clean_audit_select() -> str:
-    tok = K.NULL_TOKENS_PIPE
-    p = K.ERROR_TOKEN_PATTERN_PIPE
+    tok = V.NULL_TOKENS_PIPE
+    p = V.ERROR_TOKEN_PATTERN_PIPE
     t = {c: trim_to_null(c, tok) for c in K.CONTRACT_COLUMNS}
     cols = []
     for c in K.CONTRACT_COLUMNS:
@@ -156,14 +157,14 @@ def clean_audit_select() -> str:
 
 
 def clean_service_select() -> str:
-    tok = K.NULL_TOKENS_SERVICE
+    tok = V.NULL_TOKENS_SERVICE
     cols = []
     for c in K.NUMERIC_FEATURES:
         src = trim_to_null(c, tok)
         if c == "age":
             cols.append(f"CAST({clean_age(src, reject_error=False)} AS DOUBLE) AS {c}")
         else:
-            cols.append(f"{clean_numeric(src, pattern=K.ERROR_TOKEN_PATTERN_PIPE)} AS {c}")
+            cols.append(f"{clean_numeric(src, pattern=V.ERROR_TOKEN_PATTERN_PIPE)} AS {c}")
     cols += [f"{clean_category(c, tok)} AS {c}" for c in K.CATEGORICAL_FEATURES]
     cols.append(f"{parse_event_time(trim_to_null('event_time', tok), 'epoch_first')} AS event_time_std")
     cols.append(f"{normalize_label(trim_to_null('income', tok), 'service')} AS income")

@@ -17,14 +17,16 @@ from tabprep.sources.io import REQUEST_SCHEMA, explode_records
 
 
 def score_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, model: PipelineModel,
-                 model_name: str, available_now: bool = True, max_files_per_trigger: int | None = None
-                 ) -> StreamingQuery:
+                 model_name: str, available_now: bool = True, max_files_per_trigger: int | None = None,
+                 scorer=None) -> StreamingQuery:
+    """``scorer``: records -> scored rows, such as ``ServiceModel.score``; by
+    default ``model`` with the core cleaning."""
     reader = spark.readStream.schema(REQUEST_SCHEMA).option("multiLine", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     requests = reader.json(in_dir)
     records = explode_records(requests)
-    scored = score(records, model, model_name)
+    scored = scorer(records) if scorer else score(records, model, model_name)
     writer = (scored.writeStream.format("parquet").option("checkpointLocation", checkpoint)
               .outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")

@@ -219,3 +219,16 @@ def test_balanced_fit_and_run_log(spark, tmp_dir):
     TR.run_sweep(curated(spark, SF001), [cfg], log_table=path, source="fixture")
     keys = {r["key"] for r in spark.read.parquet(path).collect()}
     assert {"fit_row_limit", "encoding", "source_table", "test_roc_auc", "train_accuracy"} <= keys
+
+
+def test_service_model_dialect(spark):
+    from tabprep.plans import service as SV
+    from tabprep.registry import KEEP, raw
+    cfg = TR.ModelConfig("service_lr", "LogisticRegression", {"maxIter": 5}, weight_col="class_weight")
+    model, metrics = SV.train_service(raw(spark, SF001), cfg, KEEP)
+    assert {r["split"] for r in metrics.collect()} == {"train", "test"}
+    records = spark.createDataFrame([("a", "ERROR_39", "?", "Never-Seen"), ("b", "39", None, "never-seen"), ("c", None, "Private", None)],
+                                    "id string, age string, workclass string, occupation string")
+    rows = {r["id"]: r for r in model.score(records, keep=["id"]).collect()}
+    assert len(rows) == 3 and rows["a"]["probability_gt_80k"] == rows["b"]["probability_gt_80k"]  # ERROR_39 is 39, ? is missing
+    assert all(r["prediction"] in K.LABELS and 0 <= r["probability_gt_80k"] <= 1 for r in rows.values())
