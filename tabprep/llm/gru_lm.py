@@ -49,13 +49,18 @@ HEAD = 200_000
 ROUNDS = 2
 STREAMS = 512
 WINDOW = 16
-RATE = 0.04
+RATE = 0.03
 #: Smoothing of the counts (fixed by the base score's definition).
 ALPHA = 0.1
 #: The end of a text among the counted words; no word is empty.
 END = b""
-#: Steps between two visits of the output layer when scoring.
-STRIDE = 32
+#: Words between two visits of the output layer when scoring, and steps at most.
+OUTPUT_WORDS = 16_384
+STRIDE = 256
+#: Texts whose words are numbered together.
+SLICE_ROWS = 256
+#: Bins per octave of the histogram that finds the frequent words.
+BINS = 64
 
 
 @dataclass
@@ -133,25 +138,36 @@ def by_class(v: Vocabulary, target: np.ndarray) -> Iterator[tuple[int, int, np.n
             yield int(v.start[k]), int(v.start[k + 1]), order[cuts[k]:cuts[k + 1]]
 
 
+def settled(logits: np.ndarray) -> np.ndarray:
+    """The logits moved, in place, to where their exponentials are safe: by one
+    number where their range allows it, else row by row."""
+    high = logits.max()
+    logits -= high if high - logits.min() < 60 else logits.max(axis=1, keepdims=True)
+    return logits
+
+
+def row_sums(x: np.ndarray) -> np.ndarray:
+    return x @ np.ones(x.shape[1], x.dtype)
+
+
 def log_probability(p: dict[str, np.ndarray], v: Vocabulary, states: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Natural log probability of each target (of the rest: of their class)."""
-    logits = states @ p["wc"] + p["bc"]
-    logits -= logits.max(axis=1, keepdims=True)
-    out = logits[np.arange(len(target)), v.cls[target]] - np.log(np.exp(logits).sum(axis=1))
+    logits = settled(states @ p["wc"] + p["bc"])
+    out = logits[np.arange(len(target)), v.cls[target]]
+    out -= np.log(row_sums(np.exp(logits, out=logits)))
     for lo, hi, rows in by_class(v, target):
         if hi - lo > 1:
-            logits = states[rows] @ p["ww"][lo:hi].T + p["bw"][lo:hi]
-            logits -= logits.max(axis=1, keepdims=True)
-            out[rows] += logits[np.arange(len(rows)), target[rows] - lo] - np.log(np.exp(logits).sum(axis=1))
+            logits = settled(states[rows] @ p["ww"][lo:hi].T + p["bw"][lo:hi])
+            own = logits[np.arange(len(rows)), target[rows] - lo]
+            out[rows] += own - np.log(row_sums(np.exp(logits, out=logits)))
     return out
 
 
 def output_gradient(p: dict, v: Vocabulary, states: np.ndarray, target: np.ndarray, g: dict) -> np.ndarray:
     """Adds the output layer's gradients to ``g``; returns those of the states."""
-    prob = states @ p["wc"] + p["bc"]
-    prob -= prob.max(axis=1, keepdims=True)
+    prob = settled(states @ p["wc"] + p["bc"])
     np.exp(prob, out=prob)
-    prob /= prob.sum(axis=1, keepdims=True)
+    prob /= row_sums(prob)[:, None]
     prob[np.arange(len(target)), v.cls[target]] -= 1
     g["wc"] += states.T @ prob
     g["bc"] += prob.sum(axis=0)
@@ -159,10 +175,9 @@ def output_gradient(p: dict, v: Vocabulary, states: np.ndarray, target: np.ndarr
     for lo, hi, rows in by_class(v, target):
         if hi - lo > 1:
             own = states[rows]
-            prob = own @ p["ww"][lo:hi].T + p["bw"][lo:hi]
-            prob -= prob.max(axis=1, keepdims=True)
+            prob = settled(own @ p["ww"][lo:hi].T + p["bw"][lo:hi])
             np.exp(prob, out=prob)
-            prob /= prob.sum(axis=1, keepdims=True)
+            prob /= row_sums(prob)[:, None]
             prob[np.arange(len(rows)), target[rows] - lo] -= 1
             g["ww"][lo:hi] += prob.T @ own
             g["bw"][lo:hi] += prob.sum(axis=0)
@@ -175,7 +190,7 @@ class Trainer:
 
     def __init__(self, p: dict[str, np.ndarray], v: Vocabulary):
         self.p, self.v = {k: x.copy() for k, x in p.items()}, v
-        self.seen = {k: np.full_like(x, 1e-3) for k, x in p.items()}
+        self.seen = {k: np.full_like(x, 1e-7) for k, x in p.items()}
         self.words = 0
 
     def learn(self, tokens: np.ndarray) -> None:
@@ -242,10 +257,14 @@ def score_texts(p: dict, v: Vocabulary, texts: list[np.ndarray]) -> np.ndarray:
     joined = np.concatenate([texts[k] for k in order])
     h = np.zeros((len(texts), HIDDEN), np.float32)
     sums = np.zeros(len(texts))
-    for at in range(0, sizes[0], STRIDE):
+    # how many texts are longer than t, for every t
+    longer = len(sizes) - np.cumsum(np.bincount(sizes, minlength=sizes[0] + 1))
+    at = 0
+    while at < sizes[0]:
         states, targets, owner = [], [], []
-        for t in range(at, min(at + STRIDE, sizes[0])):
-            alive = int(np.searchsorted(-sizes, -t, side="left"))
+        stop = min(at + max(8, min(STRIDE, OUTPUT_WORDS // int(longer[at]))), int(sizes[0]))
+        for t in range(at, stop):
+            alive = int(longer[t])
             ids = joined[starts[:alive] + t]
             states.append(h[:alive])
             targets.append(ids)
@@ -253,6 +272,7 @@ def score_texts(p: dict, v: Vocabulary, texts: list[np.ndarray]) -> np.ndarray:
             h = advance(p, p["wx"][ids] + p["b"], h[:alive])[0]
         logs = log_probability(p, v, np.concatenate(states), np.concatenate(targets))
         sums += np.bincount(np.concatenate(owner), weights=logs, minlength=len(sums))
+        at = stop
     total[order] = sums
     return total
 
@@ -317,6 +337,34 @@ def train(docs: DataFrame, v: Vocabulary) -> dict[str, np.ndarray]:
     return p
 
 
+def frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
+    """The most frequent words with their counts, at most ``most``: all words
+    above a count that a histogram of bounded size finds."""
+    place = F.floor(F.log2("c") * BINS).cast("int")
+    bins = counts.groupBy(place.alias("k")).count().collect()  # BINS per octave of the counts
+    room, lowest = most, None
+    for row in sorted(bins, key=lambda r: -r.k):
+        room -= row["count"]
+        if room < 0:
+            break
+        lowest = row.k
+    if lowest is None:
+        return []
+    found = counts.where(place >= lowest).collect()  # at most ``most`` words
+    return sorted(((bytes(r.word), r.c) for r in found), key=lambda x: (-x[1], x[0]))
+
+
+class Numbers(dict):
+    """Number of each frequent word; ``rest`` for all others."""
+
+    def __init__(self, words: list[bytes]):
+        super().__init__(zip(words, range(len(words))))
+        self.rest = len(words)
+
+    def __missing__(self, word: bytes) -> int:
+        return self.rest
+
+
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Contract columns of every row; see the module's text."""
     require(docs, [id_col, text_col])
@@ -325,53 +373,62 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         "held_out", fold(F.col("doc_id"), FOLDS) == 0)
     counts = stage(count_words(own))
     total, distinct = (int(x or 0) for x in counts.agg(F.sum("c"), F.count("*")).first())
-    head = [(bytes(r.word), r.c) for r in counts.orderBy(F.desc("c"), "word").limit(HEAD).collect()]
+    head = frequent(counts, HEAD)
     v = vocabulary(head[:KNOWN], total)
     p = train(own, v)
-    known = sum(c for w, c in head[:KNOWN])
+    table = dict(head)
+    inside = sum(table.get(w, 0) for w in v.words)
     base_all = total + ALPHA * (distinct + 1)
-    rest_all = (total - known) + ALPHA * (distinct - min(len(head), KNOWN) + 1)
-    shared = spark.sparkContext.broadcast((p, v, dict(head)))  # HEAD words at most
+    rest_all = (total - inside) + ALPHA * (distinct - sum(w in table for w in v.words) + 1)
+    order = v.words + [w for w, _ in head if w not in v.number]
+    c = np.array([table.get(w, 0) for w in order] + [0], dtype=np.float64)
+    shared = spark.sparkContext.broadcast((p, v, order, c))  # HEAD words at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, vocab, table = shared.value
-        base = {w: np.log10((c + ALPHA) / base_all) for w, c in table.items()}
-        tail = {w: 0.0 if w in vocab.number else np.log10((c + ALPHA) / rest_all) for w, c in table.items()}
-        end = np.log10((table.get(END, 0) + ALPHA) / base_all)
-        for batch in batches:
-            ids, hashes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            texts, rows, rare = [], [], []
-            for doc, key, text in zip(ids, hashes, batch.column(2)):
-                words = words_of(text.as_py())
-                texts.append(numbers(vocab, words))
-                bag = Counter(words)
-                seen = [(base[w], tail[w], n) for w, n in bag.items() if w in base]
-                rare += [(doc, key, w, n) for w, n in bag.items() if w not in base]
-                rows.append((doc, key, len(words) + 1, sum(n for *_, n in seen) + (END in table),
-                             sum(b * n for b, _, n in seen) + end, sum(t * n for _, t, n in seen)))
-            logs = score_texts(weights, vocab, texts) / np.log(10)
-            d, k, tokens, hits, based, tailed = zip(*rows) if rows else [[]] * 6
-            # a text's own row looks up a name that no word has, its own
-            yield pa.RecordBatch.from_arrays([
-                pa.array(d, pa.int64()), pa.array(k, pa.int64()), pa.array([f" {a} {b}".encode() for a, b in zip(d, k)], pa.binary()),
-                pa.array([0] * len(rows), pa.int64()), pa.array([1] * len(rows), pa.int64()), pa.array(tokens, pa.int64()),
-                pa.array(hits, pa.int64()), pa.array(based, pa.float64()), pa.array(np.array(tailed, dtype=float) + logs[:len(rows)])],
-                names=NAMES)
-            for at in range(0, len(rare), 50_000):
-                d, k, w, n = zip(*rare[at:at + 50_000])
-                zeros = [0] * len(d)
+        weights, vocab, words_in_order, c = shared.value
+        number, known = Numbers(words_in_order), len(vocab.words)
+        base, tail, hit = np.log10((c + ALPHA) / base_all), np.log10((c + ALPHA) / rest_all), (c > 0).astype(np.int64)
+        base[-1] = tail[-1] = 0  # rare words are looked up by the join
+        tail[:known] = 0
+        for whole in batches:
+            texts, parts = [], []
+            for at in range(0, whole.num_rows, SLICE_ROWS):
+                batch = whole.slice(at, SLICE_ROWS)
+                ids, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+                sizes, flat, rare = [], [], []
+                for doc, key, text in zip(ids, keys, batch.column(2)):
+                    words = words_of(text.as_py())
+                    own = np.array([*map(number.__getitem__, words), 0], dtype=np.int32)
+                    away = np.flatnonzero(own == number.rest)
+                    rare += [(doc, key, w, n) for w, n in Counter([words[i] for i in away.tolist()]).items()]
+                    sizes.append(len(own))
+                    flat.append(own)
+                    texts.append(np.minimum(own, known))
+                joined, starts = np.concatenate(flat), np.concatenate([[0], np.cumsum(sizes)[:-1]])
+                parts.append((ids, keys, sizes, *[np.add.reduceat(x[joined], starts) for x in (hit, base, tail)]))
+                if rare:
+                    d, k, w, n = zip(*rare)
+                    zeros = pa.array(np.zeros(len(d), np.int64))
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(d, pa.int64()), pa.array(k, pa.int64()), pa.array(w, pa.binary()), pa.array(n, pa.int64()),
+                        zeros, zeros, zeros, pa.array(np.zeros(len(d))), pa.array(np.zeros(len(d)))], names=NAMES)
+            logs, at = score_texts(weights, vocab, texts) / np.log(10), 0
+            for ids, keys, sizes, hits, based, tailed in parts:
+                # a text's own row looks up a name that no word has, its own
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(d, pa.int64()), pa.array(k, pa.int64()), pa.array(w, pa.binary()), pa.array(n, pa.int64()),
-                    pa.array(zeros, pa.int64()), pa.array(zeros, pa.int64()), pa.array(zeros, pa.int64()),
-                    pa.array([0.0] * len(d)), pa.array([0.0] * len(d))], names=NAMES)
-
-    parts = own.select(F.col("doc_id").cast("long"), F.xxhash64("text"), "text").mapInArrow(run, SCHEMA)
-    c = F.coalesce("c", F.lit(0))
-    looked = parts.join(counts.where("word != X''"), "word", "left").select(
+                    pa.array(ids, pa.int64()), pa.array(keys, pa.int64()),
+                    pa.array([f" {a} {b}".encode() for a, b in zip(ids, keys)], pa.binary()),
+                    pa.array(np.zeros(len(ids), np.int64)), pa.array(np.ones(len(ids), np.int64)), pa.array(sizes, pa.int64()),
+                    pa.array(hits), pa.array(based), pa.array(tailed + logs[at:at + len(ids)])], names=NAMES)
+                at += len(ids)
+
+    rows = own.select(F.col("doc_id").cast("long"), F.xxhash64("text"), "text").mapInArrow(run, SCHEMA)
+    n = F.coalesce("c", F.lit(0))
+    looked = rows.join(counts.where("word != X''"), "word", "left").select(
         "doc_id", "key", "copies", "tokens",
-        (F.col("hits") + F.when(c > 0, F.col("n")).otherwise(0)).alias("hits"),
-        (F.col("base") + F.col("n") * F.log10((c + ALPHA) / base_all)).alias("base"),
-        (F.col("score") + F.col("n") * F.log10((c + ALPHA) / rest_all)).alias("score"))
+        (F.col("hits") + F.when(n > 0, F.col("n")).otherwise(0)).alias("hits"),
+        (F.col("base") + F.col("n") * F.log10((n + ALPHA) / base_all)).alias("base"),
+        (F.col("score") + F.col("n") * F.log10((n + ALPHA) / rest_all)).alias("score"))
     sums = looked.groupBy("doc_id", "key").agg(*[F.sum(x).alias(x) for x in ("copies", "tokens", "hits", "base", "score")])
     each = F.col("copies")
     return sums.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), each))).select(
