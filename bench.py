@@ -64,12 +64,19 @@ def main():
         return S.with_lineage(S.curated_projection(
             D.dedup_by_key(cleaned(), K.BUSINESS_KEY, tie_break=KEEP)), now=NOW)
 
-    times = {}
+    times, warm = {}, {}
 
     def timed(name, fn):
-        t = time.perf_counter()
-        fn()
-        times[name] = round(time.perf_counter() - t, 3)
+        """The first run is the cold time; the warm time is the median of three
+        further runs, or one further run where the first took over 8 s."""
+        runs = []
+        for _ in range(4):
+            t = time.perf_counter()
+            fn()
+            runs.append(round(time.perf_counter() - t, 3))
+            if runs[0] > 8 and len(runs) == 2:
+                break
+        times[name], warm[name] = runs[0], sorted(runs[1:])[len(runs[1:]) // 2]
 
     timed("csv_ingest_clean", lambda: noop(clean(spread(io.read_raw_csv(spark, raw_csv)), "core")))
     timed("clean_core", lambda: noop(cleaned()))
@@ -92,7 +99,7 @@ def main():
 
     # model preparation fitted once, then one fit per estimator family
     cur_pq = os.path.join(scratch, "curated_pq")
-    spark.read.table("bench_db.curated").write.parquet(cur_pq)
+    spark.read.table("bench_db.curated").write.mode("overwrite").parquet(cur_pq)
     cur = spread(spark.read.parquet(cur_pq))
     cfgs = {"lr": TR.SWEEP_CONFIGS[0], "dt": TR.SWEEP_CONFIGS[2], "gbt": TR.BOOST_FALLBACK}
     state = {}
@@ -116,7 +123,7 @@ def main():
 
     sf = os.path.basename(sf_dir).replace("sf", "")
     print(json.dumps({"metric": "total_headline_sec", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
+                      "queries": times, "warm": warm, "warm_value": round(sum(warm.values()), 3), "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
                       "cpus": cpus, "raw_rows": raw.count()}))
     spark.stop()
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabprep.operators import rank as R
+from tabprep.operators.partitioning import materialize
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -52,20 +53,39 @@ def numeric_summary(df: DataFrame, cols=None, exact: bool = True, probs=(0.25, 0
     cols = list(cols or numeric_columns(df))
     names = [f"p{int(round(p * 100))}" for p in probs]
     long = _long_values(df, cols)
-    stats_aggs = [F.count("value").alias("count"), F.avg("value").alias("mean"),
-                  F.stddev_samp("value").alias("stddev"), F.min("value").alias("min"), F.max("value").alias("max")]
     if exact:
-        stats = long.groupBy("column_name").agg(*stats_aggs)
-        q = R.exact_quantiles(long, "value", list(probs), groups=["column_name"], names=names)
-        out = stats.join(q, on="column_name", how="left")
+        counts = materialize(R.value_counts(long, "value", ["column_name"]))
+        stats = _moments(counts)
+        q = R.quantiles_of(counts, "value", list(probs), groups=["column_name"], names=names)
+        every = long.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
+        out = every.join(stats, "column_name", "left").join(q, "column_name", "left").withColumn(
+            "count", F.coalesce("count", F.lit(0).cast("long")))
     else:
-        out = long.groupBy("column_name").agg(*stats_aggs, *[
-            F.percentile_approx("value", p, 10_000).alias(n) for p, n in zip(probs, names)])
+        out = long.groupBy("column_name").agg(
+            F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("stddev"),
+            F.min("value").alias("min"), F.max("value").alias("max"),
+            *[F.percentile_approx("value", p, 10_000).alias(n) for p, n in zip(probs, names)])
     rnd = ["mean", "stddev", *names]
     return out.select("column_name", "count", *[F.round(c, digits).alias(c) if c in rnd else F.col(c)
                                                 for c in ["mean", "stddev", "min", *names, "max"]])
 
 
+def _moments(counts: DataFrame) -> DataFrame:
+    """count, mean, sample stddev, min and max per column from its value counts.
+    A first mean is the centre of the second sums, which correct it and give the
+    squares without cancellation."""
+    n, v = F.col("n"), F.col("value")
+    first = counts.groupBy("column_name").agg(F.sum(n).alias("count"), (F.sum(n * v) / F.sum(n)).alias("_m"),
+                                              F.min(v).alias("min"), F.max(v).alias("max"))
+    off = v - F.col("_m")
+    second = counts.join(first.select("column_name", "_m"), "column_name").groupBy("column_name").agg(
+        F.sum(n * off).alias("_d"), F.sum(n * off * off).alias("_s"))
+    shift, square = F.col("_d") / F.col("count"), F.col("_s") - F.col("_d") * F.col("_d") / F.col("count")
+    return first.join(second, "column_name").select(
+        "column_name", "count", (F.col("_m") + shift).alias("mean"),
+        F.when(F.col("count") > 1, F.sqrt(square / (F.col("count") - 1))).alias("stddev"), "min", "max")
+
+
 # ------------------------------------------------------------------------ A15
 def _slot(f):
     """(long, double, text) slot of a value, typed so distinctness is exact."""
@@ -147,6 +167,14 @@ def top_values(df: DataFrame, cols=None, k: int = 5) -> DataFrame:
     return counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def profile_table(df: DataFrame, digits: int = 9) -> DataFrame:
+    """:func:`profile` with exact quartiles of the numeric columns and the most
+    frequent value of text and integral ones (all one row per column)."""
+    quartiles = numeric_summary(df, digits=digits).select("column_name", "p25", "p50", "p75")
+    top = top_values(df, k=1).select("column_name", F.col("value").alias("top_value"), F.col("count").alias("top_count"))
+    return profile(df, digits=digits).join(quartiles, "column_name", "left").join(top, "column_name", "left")
+
+
 # ------------------------------------------------------------------------ A16
 def correlations(df: DataFrame, cols=None, digits: int = 6) -> DataFrame:
     """Pearson correlation for every column pair (a < b in list order), one aggregate."""

@@ -94,11 +94,16 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: list, groups: list = (
                     names: list | None = None, n_buckets: int | None = None) -> DataFrame:
     """Linear-interpolated exact quantiles (the rule of SQL ``percentile`` /
     ``quantile_cont``) per group, from value counts and prefix sums."""
-    names = names or [f"q{int(round(p * 100))}" for p in probs]
     # the value-count table feeds three actions (bucket number, boundaries,
     # result): compute it once
-    vc = materialize(value_counts(df, value_col, groups))
-    vc = with_quantile_bucket(vc, value_col, n_buckets or default_buckets(vc))
+    return quantiles_of(materialize(value_counts(df, value_col, groups)), value_col, probs, groups, names, n_buckets)
+
+
+def quantiles_of(counts: DataFrame, value_col: str, probs: list, groups: list = (),
+                 names: list | None = None, n_buckets: int | None = None) -> DataFrame:
+    """:func:`exact_quantiles` of a written :func:`value_counts` table."""
+    names = names or [f"q{int(round(p * 100))}" for p in probs]
+    vc = with_quantile_bucket(counts, value_col, n_buckets or default_buckets(counts))
     pref = exclusive_prefix(vc, [value_col], ["n"], groups)
     aggs = []
     for p, name in zip(probs, names):

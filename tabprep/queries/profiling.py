@@ -95,3 +95,19 @@ def q_histogram_extendedprice(spark, sf):
 @register("histogram_lineitem_quantity", _hist_sql("l_quantity"))
 def q_histogram_quantity(spark, sf):
     return P.histogram(table(spark, sf, "lineitem"), "l_quantity", 10)
+
+
+def _profile_table_sql() -> str:
+    mode = " UNION ALL ".join(
+        f"(SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS top_value, count(*) AS top_count FROM lineitem GROUP BY 2 "
+        "ORDER BY count(*) DESC, 2 NULLS FIRST LIMIT 1)" for c in TOPK_COLS)
+    quartiles = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, " + ", ".join(f"round(quantile_cont(CAST({c} AS DOUBLE), {q}), 9) AS p{int(q * 100)}" for q in (0.25, 0.5, 0.75))
+        + " FROM lineitem" for c in L_NUM)
+    return (f"SELECT * FROM ({_profile_sql(LINEITEM, 'lineitem')}) LEFT JOIN ({quartiles}) USING (column_name) "
+            f"LEFT JOIN ({mode}) USING (column_name)")
+
+
+@register("profile_table_lineitem", _profile_table_sql())
+def q_profile_table_lineitem(spark, sf):
+    return P.profile_table(table(spark, sf, "lineitem"))
