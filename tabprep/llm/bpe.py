@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Distinct matches in one generation of a worker's cache.
-CACHE_MATCHES = 300_000
+CACHE_MATCHES = 100_000
 #: Texts handled together inside a task.
 SLICE_ROWS = 512
 
@@ -98,18 +98,16 @@ class Codec:
         self.spans = Answers(self.match_spans)
 
     def merged(self, match: str) -> list:
-        """The library's tokens of one match; their offsets count bytes."""
+        """The library's tokens of one match."""
         return self.model.tokenize(match.encode().decode("latin-1").translate(self.to_chars))
 
     def match_ids(self, match: str) -> bytes:
         return b"".join(token.id.to_bytes(4, "little") for token in self.merged(match))
 
     def match_spans(self, match: str) -> list[tuple[int, int]]:
-        """First code point and end of each token: byte offsets mapped to the
-        characters that own those bytes."""
+        """First code point and end of each token: its bytes mapped to the
+        characters that own them."""
         owner = [k for k, c in enumerate(match) for _ in range(len(c.encode()))]
-        # the library's byte-level characters are one per byte, so offsets index bytes;
-        # they are rebuilt from the tokens' lengths to not depend on their unit
         spans, at = [], 0
         for token in self.merged(match):
             end = at + len(self.token_bytes[token.id])

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -56,7 +57,7 @@ SEED = 7
 SAMPLE_ROWS = 4000
 SAMPLE_BYTES = 24 << 20
 #: Words in one generation of a worker's cache.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 
 
 def grams(word: bytes) -> list[int]:
@@ -102,7 +103,7 @@ class Batch:
         self.by_word = np.argsort(self.word, kind="stable")
         self.use_at = np.searchsorted(self.word[self.by_word], np.arange(len(self.inverse)))
         by_bucket = np.argsort(self.bucket, kind="stable")
-        self.bucket_word = self.gram_word[by_bucket].astype(np.int32)
+        self.bucket_word = self.gram_word[by_bucket].astype(np.uint16 if len(self.inverse) < 1 << 16 else np.int32)
         self.bucket_at = np.searchsorted(self.bucket[by_bucket], np.arange(len(self.used)))
         self.bucket, self.gram_word = self.bucket.astype(np.int32), np.zeros(0, np.int32)
 
@@ -130,25 +131,37 @@ class Batch:
 
 
 def batches(texts: list[str], y: np.ndarray) -> Iterator[Batch]:
-    bags = [Counter(words_of(text)) for text in texts]
-    words = {w: np.array(grams(w), dtype=np.int32) for w in set().union(*bags)}
-    texts_of = Counter(w for b in bags for w in b)
-    held = np.zeros(BUCKETS, np.int64)
-    for w, found in words.items():
-        held[found] += texts_of[w]
+    """The sample cut into steps; words and n-grams are held as numbers."""
+    number: dict[bytes, int] = {}
+    bags = []
+    for text in texts:
+        bag = Counter(words_of(text))
+        bags.append((np.array([number.setdefault(w, len(number)) for w in bag], dtype=np.int32),
+                     1 + np.log(np.array(list(bag.values()), dtype=np.float32))))
+    flat, size = array("i"), np.zeros(len(number), np.int32)
+    for word, k in number.items():
+        found = grams(word)
+        size[k] = len(found)
+        flat.extend(found)
+    del number
+    buckets, first = np.frombuffer(flat, dtype=np.int32), np.concatenate([[0], np.cumsum(size)[:-1]])
+    texts_of = np.bincount(np.concatenate([ids for ids, _ in bags]), minlength=len(size))
+    held = np.zeros(BUCKETS)
+    for at in range(0, len(size), 50_000):  # in parts: the weights of all n-grams would be large
+        part = slice(at, at + 50_000)
+        end = first[part][-1] + size[part][-1]
+        held += np.bincount(buckets[first[at]:end], weights=np.repeat(texts_of[part], size[part]), minlength=BUCKETS)
     held = held >= LEAST_TEXTS
     for at in range(0, len(bags), BATCH):
-        own, number = bags[at:at + BATCH], {}
-        doc = np.repeat(np.arange(len(own)), [len(b) for b in own])
-        word = np.array([number.setdefault(w, len(number)) for b in own for w in b], dtype=np.int64)
-        share = [1 + np.log(np.array(list(b.values()), dtype=np.float32)) for b in own if b]
-        share = np.concatenate([s / (s.sum() + PAD) for s in share] + [np.zeros(0, np.float32)])[:, None]
-        lists = [words[w] for w in number]
-        size = np.array([len(x) for x in lists], dtype=np.float32)
-        bucket = np.concatenate(lists + [np.zeros(0, np.int32)])
-        gram_word = np.repeat(np.arange(len(lists)), size.astype(np.int64))
+        own = bags[at:at + BATCH]
+        doc = np.repeat(np.arange(len(own)), [len(ids) for ids, _ in own])
+        used, word = np.unique(np.concatenate([ids for ids, _ in own]), return_inverse=True)
+        share = np.concatenate([s / (s.sum() + PAD) for _, s in own])[:, None]
+        n = size[used]
+        gram_word = np.repeat(np.arange(len(used), dtype=np.int32), n)
+        bucket = buckets[np.repeat(first[used] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())] if len(used) else buckets[:0]
         kept = held[bucket]  # a bucket of few texts says little: it stays zero
-        yield Batch(y[at:at + BATCH], doc, word, share, gram_word[kept], bucket[kept], 1 / size[:, None])
+        yield Batch(y[at:at + BATCH], doc, word, share, gram_word[kept], bucket[kept], 1 / n[:, None].astype(np.float32))
 
 
 def fit(texts: list[str], toxic: list[int], epochs: int = EPOCHS) -> Model:
