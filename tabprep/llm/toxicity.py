@@ -3,8 +3,9 @@
 A word's vector is the mean of the vectors of its character n-grams (hashed
 into a fixed number of buckets), a text's vector the mean of its words'
 vectors, and a linear softmax over it gives the class.  n-gram vectors and
-softmax are trained jointly (Adam on the whole sample), so a misspelling that
-was never seen still shares most n-grams with the word it hides.
+softmax are trained jointly (Adagrad over batches of texts, a few starts
+averaged), so a misspelling that was never seen still shares most n-grams with
+the word it hides.
 
 Fitting uses a bounded sample of labelled rows: at most ``sample_rows`` rows in
 the order of a hash of their id, and at most ``sample_bytes`` bytes of text
@@ -23,10 +24,10 @@ from __future__ import annotations
 
 import math
 import zlib
-from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from operator import mul
 
 import numpy as np
@@ -48,6 +49,8 @@ BATCH = 50
 LEAST_TEXTS = 5
 #: Zero vectors that every text's mean holds besides: a single odd word decides nothing.
 PAD = 20.0
+#: Models from different starts that are averaged.
+MEMBERS = 3
 #: Weight of a word that occurs k times.
 DAMPED = [0.0] + [1 + math.log(k) for k in range(1, 256)]
 RATE = 1.0
@@ -56,22 +59,49 @@ SCALE = 100.0
 SEED = 7
 SAMPLE_ROWS = 4000
 SAMPLE_BYTES = 24 << 20
-#: Words in one generation of a worker's cache.
-CACHE_WORDS = 200_000
-
-
-def grams(word: bytes) -> list[int]:
-    """Buckets of the word's character n-grams and of the whole word, its ends
-    marked."""
-    marked = b"<" + word + b">"
-    if not word.isascii():
-        text = marked.decode("utf-8", "replace")
-        parts = [text[i:i + n].encode("utf-8", "replace") for n in GRAMS for i in range(len(text) - n + 1)]
-    else:
-        parts = [marked[i:i + n] for n in GRAMS for i in range(len(marked) - n + 1)]
-    parts.append(marked)
-    mask, crc = BUCKETS - 1, zlib.crc32
-    return [crc(p) & mask for p in parts]
+#: Words of a worker's cache, and texts scored together.
+CACHE_WORDS = 400_000
+SLICE_ROWS = 256
+#: Factor of the n-grams' rolling hash.
+PRIME = np.uint32(0x01000193)
+
+
+def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of all character n-grams and of the whole words, their ends
+    marked, and the number of the word that each belongs to."""
+    marked = ["<" + w.decode("utf-8", "replace") + ">" for w in words]
+    code = np.frombuffer("".join(marked).encode("utf-32-le"), dtype="<u4")
+    size = np.array([len(m) for m in marked], dtype=np.int64)
+    start = np.concatenate([[0], np.cumsum(size)[:-1]]).astype(np.int64)
+    owner = np.repeat(np.arange(len(words), dtype=np.int32), size)
+    left = np.repeat(start + size, size) - np.arange(len(code))  # characters up to the word's end
+    found, names = [], []
+    rolled = np.zeros(len(code), np.uint32)
+    for n in range(1, GRAMS[-1] + 1):
+        ahead = np.zeros(len(code), np.uint32)
+        ahead[:len(code) - n + 1] = code[n - 1:]
+        rolled = rolled * PRIME + ahead
+        if n >= GRAMS[0]:
+            fits = left >= n
+            found.append(mixed(rolled[fits] + np.uint32(n)))
+            names.append(owner[fits])
+            short = np.flatnonzero(size == n)  # the n-gram is the whole word: it counts twice
+            found.append(mixed(rolled[start[short]] + np.uint32(n)))
+            names.append(short.astype(np.int32))
+    if len(words):
+        power = np.multiply.accumulate(np.full(int(size.max()), PRIME, np.uint32))
+        whole = np.add.reduceat(code * power[np.arange(len(code)) - np.repeat(start, size)], start, dtype=np.uint32)
+        longer = np.flatnonzero(size > GRAMS[-1])
+        found.append(mixed(whole[longer]))
+        names.append(longer.astype(np.int32))
+    return np.concatenate(found), np.concatenate(names)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Buckets of 32-bit numbers (a finalising mix of xors and odd products)."""
+    x = (x ^ (x >> np.uint32(16))) * np.uint32(0x7FEB352D)
+    x = (x ^ (x >> np.uint32(15))) * np.uint32(0x846CA68B)
+    return ((x ^ (x >> np.uint32(16))) & np.uint32(BUCKETS - 1)).astype(np.int32)
 
 
 @dataclass
@@ -138,13 +168,17 @@ def batches(texts: list[str], y: np.ndarray) -> Iterator[Batch]:
         bag = Counter(words_of(text))
         bags.append((np.array([number.setdefault(w, len(number)) for w in bag], dtype=np.int32),
                      1 + np.log(np.array(list(bag.values()), dtype=np.float32))))
-    flat, size = array("i"), np.zeros(len(number), np.int32)
-    for word, k in number.items():
-        found = grams(word)
-        size[k] = len(found)
-        flat.extend(found)
+    parts, names, words = [], [], list(number)
     del number
-    buckets, first = np.frombuffer(flat, dtype=np.int32), np.concatenate([[0], np.cumsum(size)[:-1]])
+    for at in range(0, len(words), 20_000):
+        found, name = grams(words[at:at + 20_000])
+        order = np.argsort(name, kind="stable")
+        parts.append(found[order])
+        names.append(np.bincount(name, minlength=len(words[at:at + 20_000])))
+    buckets = np.concatenate(parts + [np.zeros(0, np.int32)])
+    size = np.concatenate(names + [np.zeros(0, np.int64)])
+    del parts, words
+    first = np.concatenate([[0], np.cumsum(size)[:-1]]).astype(np.int64)
     texts_of = np.bincount(np.concatenate([ids for ids, _ in bags]), minlength=len(size))
     held = np.zeros(BUCKETS)
     for at in range(0, len(size), 50_000):  # in parts: the weights of all n-grams would be large
@@ -171,14 +205,20 @@ def fit(texts: list[str], toxic: list[int], epochs: int = EPOCHS) -> Model:
         share = float(y.mean()) if len(y) else 0.0
         bias = math.log(max(share, 1e-6) / max(1 - share, 1e-6))
         return Model(np.zeros(BUCKETS, np.float32), bias)
-    rng = np.random.default_rng(SEED)
-    order = rng.permutation(len(y))
+    order = np.random.default_rng(SEED).permutation(len(y))
     steps = list(batches([texts[k] for k in order], y[order]))
+    epochs = max(epochs, -(-LEAST_STEPS // len(steps)))
+    # margins are linear, so members that start elsewhere average into one model
+    members = [train(steps, epochs, SEED + k) for k in range(MEMBERS)]
+    return Model(np.mean([m.bucket for m in members], axis=0), float(np.mean([m.bias for m in members])))
+
+
+def train(steps: list[Batch], epochs: int, seed: int) -> Model:
+    rng = np.random.default_rng(seed)
     grid = rng.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32)
     soft, bias = rng.normal(0, 0.5, (DIM, 2)).astype(np.float32), np.zeros(2, np.float32)
     seen, seen_soft, seen_bias = np.full((BUCKETS, DIM), 1e-8, np.float32), np.full_like(soft, 1e-8), np.full(2, 1e-8)
     touched = np.zeros(BUCKETS, bool)
-    epochs = max(epochs, -(-LEAST_STEPS // len(steps)))
     for epoch in range(epochs):
         rate = RATE * (1 - epoch / epochs)
         for k in rng.permutation(len(steps)):
@@ -196,32 +236,43 @@ def fit(texts: list[str], toxic: list[int], epochs: int = EPOCHS) -> Model:
 
 
 class Margins(dict):
-    """Margin of each word, computed when it is first met.  Two generations
-    bound the size: words still in use move from the old one to the young."""
+    """Margin of each word that a worker has met; it starts anew when full."""
 
     def __init__(self, model: Model):
         super().__init__()
-        self.model, self.table, self.old = model, model.bucket.tolist(), {}
-
-    def __missing__(self, word: bytes) -> float:
-        value = self.old.get(word)
-        if value is None:
-            found = grams(word)
-            value = sum(map(self.table.__getitem__, found)) / len(found)
-        if len(self) >= CACHE_WORDS:
-            self.old = dict(self)
+        self.model = model
+
+    def learn(self, words: set[bytes]) -> None:
+        if len(self) + len(words) > CACHE_WORDS:
+            self.clear()
+        new = list(words)
+        for at in range(0, len(new), 20_000):
+            part = new[at:at + 20_000]
+            bucket, owner = grams(part)
+            total = np.bincount(owner, weights=self.model.bucket[bucket], minlength=len(part))
+            self.update(zip(part, (total / np.bincount(owner, minlength=len(part))).tolist()))
+
+    def probabilities(self, texts: list[str | None]) -> list[float]:
+        """Scores of whole texts; each new word is worked out once for all."""
+        bags = [Counter(words_of(text)) for text in texts]
+        words = {w for bag in bags for w in bag}
+        if len(self) + len(words) > CACHE_WORDS:
             self.clear()
-        self[word] = value
-        return value
+        self.learn({w for w in words if w not in self})
+        out = []
+        for bag in bags:
+            margin = self.model.bias
+            if bag:
+                damped = [DAMPED[c] if c < len(DAMPED) else 1 + math.log(c) for c in bag.values()]
+                margin += sum(map(mul, damped, map(self.__getitem__, bag))) / (sum(damped) + PAD)
+            out.append(1 / (1 + math.exp(-margin)) if margin > -700 else 0.0)
+        return out
 
 
-def probability(words: list[bytes], margins: Margins) -> float:
-    margin = margins.model.bias
-    if words:
-        bag = Counter(words)
-        damped = [DAMPED[c] if c < len(DAMPED) else 1 + math.log(c) for c in bag.values()]
-        margin += math.fsum(map(mul, damped, map(margins.__getitem__, bag))) / (math.fsum(damped) + PAD)
-    return 1 / (1 + math.exp(-margin)) if margin > -700 else 0.0
+@lru_cache(maxsize=1)
+def margins_of(bucket: bytes, bias: float) -> Margins:
+    """The worker's cache for a model; it outlives a task."""
+    return Margins(Model(np.frombuffer(bucket, np.float32), bias))
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, sample_rows: int, sample_bytes: int) -> DataFrame:
@@ -253,14 +304,16 @@ def score(df: DataFrame, model: Model, text_col: str = "text", score_col: str =
     while source in df.columns:
         source += "_"
     schema = type(df.schema)(kept).add(score_col, "double")
-    shared = df.sparkSession.sparkContext.broadcast((model.bucket, model.bias))  # BUCKETS floats
+    shared = df.sparkSession.sparkContext.broadcast((model.bucket.tobytes(), model.bias))  # BUCKETS floats
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        margins = Margins(Model(*shared.value))
-        for batch in batches:
-            found = [probability(words_of(t.as_py()), margins) for t in batch.column(source)]
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in names] + [pa.array(found, pa.float64())],
-                                             names=schema.names)
+        margins = margins_of(*shared.value)
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE_ROWS):
+                batch = whole.slice(at, SLICE_ROWS)
+                found = margins.probabilities(batch.column(source).to_pylist())
+                yield pa.RecordBatch.from_arrays([batch.column(c) for c in names] + [pa.array(found, pa.float64())],
+                                                 names=schema.names)
 
     held = df.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{text_col}`").cast("string").alias(source))
     return held.mapInArrow(run, schema)

@@ -368,7 +368,9 @@ def test_sharding_hot_key(spark):
 def test_toxicity_edges(spark):
     rng = random.Random(2)
     rows = [(i, prose(rng, 30) + (" stupid idiot" if i % 4 == 0 else "")) for i in range(200)]
-    extra = [(900, None), (901, ""), (None, "stupid idiot"), (902, prose(rng, 30) + " stup1d idiotic"), (903, "alpha1 " * 30_000), (0, rows[0][1])]
+    plain = prose(rng, 30)
+    extra = [(900, None), (901, ""), (None, "stupid idiot"), (902, plain + " stup1d idiotic"), (904, plain + " river7 stone8"),
+             (903, "alpha1 " * 30_000), (0, rows[0][1])]
     df = docs_of(spark, rows + extra).withColumn("score", F.lit("clash")).withColumn("_toxic_text", F.lit(1))
     labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i, _ in rows] + [(5000, 1, 1), (None, 1, 1), (1, 1, None)],
                                    "doc_id long, quality int, toxic int")
@@ -377,7 +379,8 @@ def test_toxicity_edges(spark):
     by = {r.doc_id: r for r in got}
     held = [r for r in got if r.held_out and r.doc_id is not None and r.doc_id < 200]
     assert held and all(r.predicted == int(r.doc_id % 4 == 0) for r in held)
-    assert by[902].score > 0.5 and by[None].held_out
+    assert by[902].score > 1000 * by[904].score and by[None].held_out  # unseen misspellings share n-grams
+    assert by[None].score > 0.5
     model = toxicity.learn(df, labels)
     assert toxicity.score(df, model).columns == [c for c in df.columns if c != "score"] + ["score"]
     assert toxicity.classify(df, labels.limit(0)).agg(F.max("score")).first()[0] < 0.5

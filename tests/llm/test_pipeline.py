@@ -94,9 +94,9 @@ def test_pipeline_matches_brute_force(spark, sf):
     from tabprep.llm.bpe import read_ranks
     docs = table(spark, sf, "documents")
     model = toxicity.learn(docs, table(spark, sf, "labels"))
-    margins = toxicity.Margins(model)
     texts = {r.doc_id: r.text for r in docs.collect()}
-    texts = {d: t for d, t in texts.items() if toxicity.probability(toxicity.words_of(t), margins) < 0.5}
+    scores = dict(zip(texts, toxicity.Margins(model).probabilities(list(texts.values()))))
+    texts = {d: t for d, t in texts.items() if scores[d] < 0.5}
     texts = {d: texts[d] for d in near_duplicate_survivors(texts)}
     items = [t.lower() for (t,) in duckdb.sql(f"select text from '{sf}/benchmark.parquet'").fetchall()]
     items = ["".join(" " if c in pii_info._BREAK + "-_~^" else c for c in t).split() for t in items]
