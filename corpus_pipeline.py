@@ -45,7 +45,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and digests of ids and decoded bytes."""
     importable(spark)
     path = public_tokenizers.path(VOCABULARY)
-    coded = bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN), path, public_tokenizers.PATTERN)
+    coded = bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN), path)
     return coded.select("doc_id", "lang", "source", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 

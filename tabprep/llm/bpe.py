@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 #: Distinct matches in one generation of a worker's cache.
 CACHE_MATCHES = 100_000
 #: Texts handled together inside a task.
-SLICE_ROWS = 512
+SLICE_ROWS = 256
 
 
 def byte_table() -> list[str]:
@@ -92,8 +92,7 @@ class Codec:
         )
         self.pattern = regex.compile(pattern)
         self.to_chars = {b: c for b, c in enumerate(chars)}
-        code = {c: b for b, c in enumerate(chars)}
-        self.token_bytes = {rank: bytes(map(code.__getitem__, text)) for rank, text in by_rank.items()}
+        self.token_bytes = decoder(path)
         self.ids = Answers(self.match_ids)
         self.spans = Answers(self.match_spans)
 
@@ -133,8 +132,20 @@ class Codec:
             found.append((starts, ends))
         return found
 
-    def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.token_bytes.__getitem__, memoryview(ids).cast("I").tolist()))
+
+@lru_cache(maxsize=2)
+def decoder(path: str) -> dict[int, bytes]:
+    """Bytes of every id: its byte-level string through the reversed table.
+    Decoding tasks hold this table only, not the merges."""
+    chars = byte_table()
+    code = {c: b for b, c in enumerate(chars)}
+    spelt = ((rank, "".join(map(chars.__getitem__, token))) for token, rank in read_ranks(path).items())
+    return {rank: bytes(map(code.__getitem__, text)) for rank, text in spelt}
+
+
+def decoded(ids: bytes, table: dict[int, bytes]) -> bytes:
+    """The bytes of all tokens joined; characters split over tokens are whole again."""
+    return b"".join(map(table.__getitem__, memoryview(ids).cast("I").tolist()))
 
 
 @lru_cache(maxsize=2)
@@ -177,16 +188,16 @@ def encode(df: DataFrame, path: str, pattern: str, text_col: str = "text", offse
     return held.mapInArrow(run, schema)
 
 
-def decode(df: DataFrame, path: str, pattern: str, ids_col: str = "ids") -> DataFrame:
+def decode(df: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     """Add ``decoded`` (binary: the bytes the ids stand for; null ids: empty)."""
     kept, schema = _with_columns(df, [T.StructField("decoded", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(path, pattern)
+        table = decoder(path)
         for whole in batches:
             for at in range(0, whole.num_rows, SLICE_ROWS):
                 batch = whole.slice(at, SLICE_ROWS)
-                out = [own.decode(x or b"") for x in batch.column(ids_col).to_pylist()]
+                out = [decoded(x or b"", table) for x in batch.column(ids_col).to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + [pa.array(out, pa.binary())],
                                                  names=schema.names)
 
@@ -196,5 +207,5 @@ def decode(df: DataFrame, path: str, pattern: str, ids_col: str = "ids") -> Data
 def round_trip(df: DataFrame, path: str, pattern: str, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """Encode, decode and reduce to digests: one row per input row."""
     coded = encode(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), path, pattern)
-    return decode(coded.select("doc_id", "n_tokens", "ids"), path, pattern).select(
+    return decode(coded.select("doc_id", "n_tokens", "ids"), path).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -60,7 +60,7 @@ SEED = 7
 SAMPLE_ROWS = 4000
 SAMPLE_BYTES = 24 << 20
 #: Words of a worker's cache, and texts scored together.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 SLICE_ROWS = 256
 #: Factor of the n-grams' rolling hash.
 PRIME = np.uint32(0x01000193)

@@ -170,7 +170,7 @@ def test_bpe_edges(spark):
     path = P.path("byte_bpe_multi_50k.tiktoken")
     texts = [None, "", "<|endoftext|> hi", "naïve 日本語 🙂🙂", "a" * 50_000, " \t\n  x", "🙂" * 3000]
     df = spark.createDataFrame([(i, t, i) for i, t in enumerate(texts)], "doc_id long, text string, ids int")
-    rows = bpe.decode(bpe.encode(df, path, P.PATTERN, offsets=True), path, P.PATTERN).collect()
+    rows = bpe.decode(bpe.encode(df, path, P.PATTERN, offsets=True), path).collect()
     for r in rows:
         text = texts[r.doc_id] or ""
         assert bytes(r.decoded).decode() == text and r.n_tokens == len(r.ids) // 4 == len(r.starts) == len(r.ends)
