@@ -16,9 +16,15 @@ from tabprep.session import ensure_checkpoint_dir
 WORD_CHARS = r"[^\x20\x09-\x0D]+"
 
 
-def importable(spark: SparkSession) -> None:
+#: Rows of an Arrow batch: texts may be long, and a batch is held several times
+#: on its way to a worker and back.
+BATCH_ROWS = 1000
+
+
+def importable(spark: SparkSession, batch_rows: int = BATCH_ROWS) -> None:
     """Python workers find this package where the driver found it, as they do
-    when it is installed or shipped with ``--py-files``."""
+    when it is installed or shipped with ``--py-files``, and get small batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]

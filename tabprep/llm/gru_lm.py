@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabprep.llm.common import fold, require, stage, words_of
+from tabprep.llm.common import fold, importable, require, stage, words_of
 
 FOLDS = 10
 HIDDEN = 12
@@ -57,6 +57,8 @@ END = b""
 #: Words between two visits of the output layer when scoring, and steps at most.
 OUTPUT_WORDS = 16_384
 STRIDE = 256
+#: Texts that run side by side: fewer would leave the steps mostly empty.
+BATCH_TEXTS = 10_000
 #: Texts whose words are numbered together.
 SLICE_ROWS = 256
 #: Bins per octave of the histogram that finds the frequent words.
@@ -369,6 +371,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """Contract columns of every row; see the module's text."""
     require(docs, [id_col, text_col])
     spark = docs.sparkSession
+    importable(spark, batch_rows=BATCH_TEXTS)
     own = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text")).withColumn(
         "held_out", fold(F.col("doc_id"), FOLDS) == 0)
     counts = stage(count_words(own))

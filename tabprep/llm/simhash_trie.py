@@ -224,21 +224,30 @@ def links(fps: DataFrame, budget: int, blocks: int | None = None) -> DataFrame:
                          .otherwise(2).cast("byte").alias("side"), "fp")
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        held, size = [], 0
         for batch in batches:  # sorted: a top node may go on in the next batch
-            held = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-            names = _names(held)
+            held.append(batch)
+            size += batch.num_rows
+            if size < 100_000:
+                continue
+            whole = _joined(held)
+            names = _names(whole)
             ends = np.flatnonzero(names[1:] != names[:-1])
-            if held.num_rows >= 100_000 and len(ends):
-                yield _walked(held.slice(0, ends[-1] + 1), budget)
-                held = held.slice(ends[-1] + 1)
-        if held is not None and held.num_rows:
-            yield _walked(held, budget)
+            if len(ends):
+                yield _walked(whole.slice(0, ends[-1] + 1), budget)
+                whole = whole.slice(ends[-1] + 1)
+            held, size = [whole], whole.num_rows
+        if size:
+            yield _walked(_joined(held), budget)
 
     keys = ["choice", "top", "i", "j"]
     return tasks.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(join, "u long, v long")
 
 
+def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
+
+
 def _names(batch: pa.RecordBatch) -> np.ndarray:
     """Running number of the task of each row (rows are sorted by task)."""
     change = np.zeros(batch.num_rows, dtype=bool)
