@@ -99,6 +99,17 @@ def test_pii_terms_and_text(spark):
     assert pii_info.report(docs_of(spark, rows)).count() == len(rows)
 
 
+def test_pii_rare_entities_are_judged(spark):
+    """Values of one document: its own words give them away, on a given table and alone."""
+    rows = [(0, "quixotic words go to ann@mail.example.org today")] + [(i, "plain words go there today") for i in range(1, 1500)]
+    out = {r["doc_id"]: (r["spans"], r["n_term"]) for r in pii_info.report(docs_of(spark, rows)).collect()}
+    assert out[0] == ("term:0:8,email:21:41", 1) and sum(n for _, n in out.values()) == 1
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found, _ = pii_info.disclosing(docs)[:2]
+    assert found.count() > 0
+    assert sum(r["n_term"] for r in pii_info.report(docs).collect()) > 0
+
+
 def test_pii_long_runs(spark):
     text = "1 " * 30_000 + "7" * 30_000 + " " + "a." * 20_000 + "@" + " +" + "1-" * 20_000
     assert pii_info.report(docs_of(spark, [(1, text)])).first().n_email == 0
