@@ -17,6 +17,10 @@ corpora of about a thousand documents or more.)
 
 Only entities, pairs and term frequencies are shuffled, partially aggregated;
 whole texts are shuffled for documents that hold an entity, never for others.
+What gives an entity away stays in rows ``entity, term``; the documents' own
+pairs are joined to them, and a document gathers its own hits only, at most its
+distinct words.  The few entities of many documents are dealt over ``SALTS``
+keys in each join.
 
 Main path: DataFrame operations only.
 
@@ -52,6 +56,10 @@ HINTS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 
 GENERALISE_AT = 0.9
 REMOVE_AT = 0.98
+#: An entity with more than this share of all mentions is dealt over so many
+#: keys; at most ``1 / HOT`` entities have it.
+HOT = 0.01
+SALTS = 64
 #: Code points that a term has at least.
 LEAST_CHARS = 3
 #: Characters that separate terms besides white space, and the case folding.
@@ -117,28 +125,59 @@ def terms(text: Column) -> Column:
     return F.split(F.translate(text, _UPPER + _BREAK, _UPPER.lower() + " " * len(_BREAK)), " ", -1)
 
 
-def disclosing(df: DataFrame, text_col: str = "text", generalise_at: float = GENERALISE_AT,
-               remove_at: float = REMOVE_AT) -> tuple[DataFrame, DataFrame]:
+def _words(text: Column) -> Column:
+    """Distinct terms of a text."""
+    return F.array_distinct(F.filter(terms(text), lambda w: F.length(w) >= LEAST_CHARS))
+
+
+def _key(id_col: str) -> list[Column]:
+    """What tells texts apart; needs ``_text``."""
+    return [F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")).alias("_id"), F.xxhash64("_text").alias("_hash")]
+
+
+def _hot(common: DataFrame) -> list[str]:
+    """The entities with more than ``HOT`` of all mentions, at most ``1 / HOT``."""
+    total = common.agg(F.sum("df_e")).first()[0] or 0
+    return [r.entity for r in common.where(F.col("df_e") > HOT * total).select("entity").collect()]
+
+
+def _dealt(rows: DataFrame, hot: list[str], by: list[str]) -> DataFrame:
+    """``rows`` with ``_salt``: those of a hot entity spread by ``by``."""
+    return rows.withColumn("_salt", F.when(F.col("entity").isin(hot), F.pmod(F.xxhash64(*by), F.lit(SALTS)).cast("int")).otherwise(F.lit(0)))
+
+
+def _copied(rows: DataFrame, hot: list[str]) -> DataFrame:
+    """``rows`` with ``_salt``: those of a hot entity once for each value."""
+    every = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    return rows.withColumn("_salt", F.explode(F.when(F.col("entity").isin(hot), every).otherwise(F.array(F.lit(0)))))
+
+
+def _pairs(holders: DataFrame, *keep: str) -> DataFrame:
+    """``entity, term`` of each row: every entity with every distinct word."""
+    return holders.select(*keep, F.explode("_entities").alias("entity"), "_words").select(*keep, "entity", F.explode("_words").alias("term"))
+
+
+def disclosing(df: DataFrame, text_col: str = "text", generalise_at: float = GENERALISE_AT, remove_at: float = REMOVE_AT,
+               id_col: str = "doc_id") -> tuple[DataFrame, DataFrame, list[str]]:
     """``entity, term, share, removed`` of every pair that gives an entity away,
-    and the documents that hold entities (columns of ``with_base``)."""
+    the documents that hold entities (``_id, _hash, _entities, _words``) and
+    the hot entities."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    words = lambda t: F.array_distinct(F.filter(terms(t), lambda w: F.length(w) >= LEAST_CHARS))
-    holders = stage(with_base(df.select(F.col(f"`{text_col}`").alias("text"))).where(F.size("_entities") > 0)
-                    .select("_entities", "_text"))
+    rows = with_base(df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))).where(F.size("_entities") > 0)
+    holders = stage(rows.select(*_key("id"), "_entities", _words(F.col("_text")).alias("_words")))
     n = df.count()
-    common = holders.select(F.explode("_entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("df_e"))
-    held = holders.select("_text", F.explode("_entities").alias("entity"))
-    pairs = held.select("entity", F.explode(words(F.col("_text"))).alias("term")).groupBy("entity", "term").agg(
-        F.count("*").alias("df_te"))
-    every = df.select(F.explode(words(text)).alias("term")).groupBy("term").agg(F.count("*").alias("df_t"))
-    joined = pairs.join(common, "entity").join(every, "term")
+    common = stage(holders.select(F.explode("_entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("df_e")))
+    hot = _hot(common)
+    pairs = _pairs(holders).groupBy("entity", "term").agg(F.count("*").alias("df_te"))
+    every = df.select(F.explode(_words(text)).alias("term")).groupBy("term").agg(F.count("*").alias("df_t"))
+    joined = _dealt(pairs, hot, ["term"]).join(_copied(common, hot), ["entity", "_salt"]).join(every, "term")
     # PMI / IC, with log2(N / df(e)) in both; an entity in every document carries no information
     ic = F.log2(F.lit(float(n)) / F.col("df_e"))
     given = (F.col("df_te") + F.col("df_e") / F.lit(float(n))) / (F.col("df_t") + 1)
     share = F.when(ic > 0, 1 + F.log2(given) / ic).otherwise(F.lit(0.0))
     found = joined.select("entity", "term", share.alias("share")).where(F.col("share") >= generalise_at).withColumn(
         "removed", F.col("share") >= remove_at)
-    return found, holders
+    return found, holders, hot
 
 
 def annotate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", generalise_at: float = GENERALISE_AT,
@@ -146,17 +185,17 @@ def annotate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", gene
     """``df`` with ``_text``, ``_base`` and ``_added``: spans (start, kind, end,
     removed) of the terms that give away an entity of the same text."""
     require(df, [id_col, text_col])
-    found, _ = disclosing(df, text_col, generalise_at, remove_at)
-    by_entity = stage(found.groupBy("entity").agg(F.collect_list(F.struct("term", "removed")).alias("terms")))
+    found, holders, hot = disclosing(df, text_col, generalise_at, remove_at, id_col)
+    found = stage(found.select("entity", "term", "removed"))
     rows = with_base(df, text_col)
     none = F.array().cast("array<struct<start:int,kind:int,end:int,removed:boolean>>")
     plain = rows.where(F.size("_entities") == 0).withColumn("_added", none).drop("_entities")
-    key = [F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")).alias("_id"), F.xxhash64("_text").alias("_hash")]
-    some = rows.where(F.size("_entities") > 0)
-    given = (some.select(*key, F.explode("_entities").alias("entity")).distinct().join(by_entity, "entity")
-             .groupBy("_id", "_hash").agg(F.flatten(F.collect_list("terms")).alias("_terms")))
-    some = some.select("*", *key).join(given, ["_id", "_hash"], "left").drop("_id", "_hash", "_entities")
-    named = lambda t: F.transform(t, lambda x: x["term"])
+    own = _dealt(_pairs(holders.dropDuplicates(["_id", "_hash"]), "_id", "_hash"), hot, ["_id", "_hash"])
+    given = own.join(_copied(found, hot), ["entity", "_salt", "term"]).groupBy("_id", "_hash").agg(
+        F.collect_set(F.struct("term", "removed")).alias("_terms"))
+    some = rows.where(F.size("_entities") > 0).select("*", *_key(id_col))
+    some = some.join(given, ["_id", "_hash"], "left").drop("_id", "_hash", "_entities")
+    named = lambda t: F.array_distinct(F.transform(t, lambda x: x["term"]))
     gone = lambda t: F.transform(F.filter(t, lambda x: x["removed"]), lambda x: x["term"])
     spans = let(named(F.col("_terms")), lambda n: let(gone(F.col("_terms")), lambda g: _term_spans(F.col("_text"), F.col("_base"), n, g)))
     some = some.withColumn("_added", F.when(F.col("_terms").isNull(), none).otherwise(spans)).drop("_terms")

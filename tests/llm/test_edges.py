@@ -110,6 +110,24 @@ def test_pii_rare_entities_are_judged(spark):
     assert sum(r["n_term"] for r in pii_info.report(docs).collect()) > 0
 
 
+def test_pii_hot_entity_stays_in_rows(spark):
+    """One address in a third of the documents: its terms are dealt over many
+    keys, no row holds them all, and each text gets its own hits."""
+    rows = [(i, f"footer{i % 40} own{i} mail ann@mail.example.org") for i in range(400)]
+    rows += [(1000 + i, f"other{i} words mail today") for i in range(800)]
+    df = docs_of(spark, rows)
+    found, holders, hot = pii_info.disclosing(df, generalise_at=0.8)
+    assert dict(found.dtypes) == {"entity": "string", "term": "string", "share": "double", "removed": "boolean"}
+    assert hot == ["email:ann@mail.example.org"] and found.where(F.col("term").startswith("footer")).count() == 40
+    dealt = pii_info._dealt(pii_info._pairs(holders, "_id", "_hash"), hot, ["_id", "_hash"])
+    assert dealt.select("entity", "_salt").distinct().count() == pii_info.SALTS
+    out = {r["doc_id"]: r["spans"].split(",") for r in pii_info.report(df, generalise_at=0.8).collect()}
+    for i, t in rows[:400]:
+        assert f"term:0:{t.index(' ')}" in out[i] and f"email:{t.index('ann@')}:{len(t)}" in out[i]
+        assert len([x for x in out[i] if x.startswith("term")]) == 1
+    assert all(out[i] == [""] for i, _ in rows[400:])
+
+
 def test_pii_long_runs(spark):
     text = "1 " * 30_000 + "7" * 30_000 + " " + "a." * 20_000 + "@" + " +" + "1-" * 20_000
     assert pii_info.report(docs_of(spark, [(1, text)])).first().n_email == 0
