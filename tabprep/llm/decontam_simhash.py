@@ -4,8 +4,10 @@
    its item, so only texts that hold a benchmark shingle can hold such a window.
    They are found in one scan by a Bloom filter literal over the benchmark's
    shingles (its size is checked; a larger benchmark is joined instead).
-2. *Windows.*  Where a text and an item share a shingle, the window of the
-   item's number of words that puts the two in line is cut out.
+2. *Windows.*  A window of k shingles at similarity s or more to an item of m
+   shares at least ``s * (k + m) / (1 + s)`` of them with it.  Every start whose
+   window holds that many positions with a shingle of an item of that number of
+   words is cut out, wherever the item's parts stand in it.
 3. *SimHash.*  Windows and items get a 64-bit fingerprint over their weighted
    shingles (weight: occurrences).  Equal windows of many texts are one.
 4. *Multi-index Hamming blocks.*  The fingerprint is cut into 8 blocks.  Two
@@ -116,6 +118,27 @@ def regions(docs: DataFrame, marks: DataFrame, widths: list[int]) -> DataFrame:
     return rows.where("r IS NOT NULL").select("doc_id", "hash", "r.words", "r.hits")
 
 
+def starts(similarity: float) -> Column:
+    """Ranges (first, last) of the starts whose window of ``size`` words can be
+    at ``similarity``; needs ``n`` words of the text, ``width`` and ``at``, the
+    positions in order whose shingles are those of items.  The window holds k
+    shingles; from the i-th position on, the last of those needed must lie in it."""
+    last = F.greatest(F.lit(0), F.col("n") - F.col("size"))
+    k = F.least("n", "size") - F.col("width") + 1
+    least = F.ceil((k + F.col("size") - F.col("width") + 1) * (similarity / (1 + similarity)) - 1e-6).cast("int")
+    need = F.greatest(F.lit(1), least)
+
+    def run(at: Column, i: Column) -> Column:
+        before = F.when(i > 0, F.get(at, i - 1) + 1).otherwise(F.lit(0))
+        return F.struct(F.greatest(before, F.get(at, i + need - 1) - k + 1, F.lit(0)).alias("first"),
+                        F.least(F.get(at, i), last).alias("last"))
+
+    def runs(at: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.size(at) - need), lambda i: run(at, i))
+
+    return F.when(F.size("at") >= need, F.filter(let(F.col("at"), runs), lambda r: r["first"] <= r["last"]))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """``doc_id, item_id, start, n_words, distance, similarity``: for each text
     and item the best window at ``similarity`` or more; positions count words."""
@@ -126,7 +149,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     widths = sorted(r.width for r in items.select("width").distinct().collect())  # at most WIDTH numbers
     marks = None
     for width in widths:
-        own = items.where(F.col("width") == width).select("width", "size", F.posexplode(hashes(F.col("words"), width)).alias("offset", "h"))
+        own = items.where(F.col("width") == width).select("width", "size", F.explode(hashes(F.col("words"), width)).alias("h"))
         marks = own.distinct() if marks is None else marks.union(own.distinct())
     if marks is None:
         return docs.select("doc_id", F.lit(None).cast("long").alias("item_id"), F.lit(0).alias("start"), F.lit(0).alias("n_words"),
@@ -134,19 +157,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     marks = stage(marks)
     held = stage(regions(docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")), marks, widths))
 
-    # windows in line with a shared shingle, as starts and sizes first
+    # windows that hold enough of the shingles, as starts and sizes first
     hits = held.select("doc_id", "hash", F.size("words").alias("n"), F.explode("hits").alias("t")).select("doc_id", "hash", "n", "t.*")
-    starts = hits.join(marks, ["width", "h"]).select(
-        "doc_id", "hash", "size", F.greatest(F.lit(0), F.least(F.col("pos") - F.col("offset"), F.col("n") - F.col("size"))).alias("start")).distinct()
-    cuts = starts.groupBy("doc_id", "hash").agg(F.collect_list(F.struct("start", "size")).alias("cuts"))
+    at = hits.join(marks, ["width", "h"]).groupBy("doc_id", "hash", "n", "size", "width").agg(F.array_sort(F.collect_set("pos")).alias("at"))
+    ranges = at.select("doc_id", "hash", "size", F.explode(starts(similarity)).alias("r")).select("doc_id", "hash", "size", "r.*")
+    cuts = ranges.groupBy("doc_id", "hash").agg(F.collect_list(F.struct("first", "last", "size")).alias("cuts"))
     same = cuts.select(F.col("doc_id").alias("_d"), F.col("hash").alias("_h"), "cuts")
     once = held.dropDuplicates(["doc_id", "hash"]).drop("hits")
     window = once.join(same, (F.col("hash") == F.col("_h")) & F.col("doc_id").eqNullSafe(F.col("_d"))).select(
         "doc_id", "words", F.explode("cuts").alias("c")).select(
-        "doc_id", "c.start", "c.size", F.slice("words", F.col("c.start") + 1, F.col("c.size")).alias("window"))
-    windows = stage(window.select("doc_id", "start", "size", F.size("window").alias("n_words"), let(F.col("window"), shingles).alias("shingles"))
-                    .withColumn("wid", F.md5(F.concat_ws("\n", F.col("size").cast("string"), F.concat_ws("\n", "shingles")).cast("binary"))))
-    contents = stage(windows.groupBy("wid").agg(F.first("size").alias("size"), F.first("shingles").alias("shingles")))
+        "doc_id", "words", "c.size", F.explode(F.sequence("c.first", "c.last")).alias("start")).select(
+        "doc_id", "start", "size", F.slice("words", F.col("start") + 1, F.col("size")).alias("window"))
+    windows = stage(window.select("doc_id", "start", "size", F.size("window").alias("n_words"), "window").withColumn(
+        "wid", F.md5(F.concat_ws(" ", F.col("size").cast("string"), F.concat_ws(" ", "window")).cast("binary"))))
+    contents = stage(windows.groupBy("wid").agg(F.first("size").alias("size"), F.first("window").alias("window"))).select(
+        "wid", "size", let(F.col("window"), shingles).alias("shingles"))
     texts = items.select("item_id", "size", shingles(F.col("words")).alias("shingles")).withColumn(
         "iid", F.md5(F.concat_ws("\n", "shingles").cast("binary")))
     unique = stage(texts.groupBy("iid").agg(F.first("size").alias("size"), F.first("shingles").alias("shingles")))

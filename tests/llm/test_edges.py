@@ -171,6 +171,30 @@ def test_decontamination(spark):
     assert decontam_simhash.contaminated(df, bench.limit(0)).count() == 0
 
 
+def test_decontamination_moved_parts(spark):
+    """Parts of a passage in another order: no shared shingle lines up the best window."""
+    rng = random.Random(11)
+    items = [(n, prose(rng, n)) for n in (60, 100, 12, 30)]
+    rows, want = [], {}
+    for n, text in items:
+        own = text.split()
+        for moved in (n // 8, n // 4, n // 2):
+            for tail in (0, 30):
+                rows.append((len(rows), " ".join([prose(rng, 20), *own[moved:], *own[:moved], prose(rng, tail)])))
+        rows.append((len(rows), " ".join([*own[n // 2:], *own[:n // 2 - n // 30]])))  # shorter than the item
+    rows.append((len(rows), " ".join(items[0][1].split()[:9] * 20)))
+    for d, t in rows:
+        w = t.split()
+        for i, x in items:
+            item = x.split()
+            best = max(similar(w[k:k + len(item)], item) for k in range(max(1, len(w) - len(item) + 1)))
+            if best >= 0.8:
+                want[d, i] = round(best, 9)
+    assert {60, 100} <= {i for _, i in want} and len(want) >= 12
+    found = decontam_simhash.contaminated(docs_of(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id): round(r.similarity, 9) for r in found} == want
+
+
 # ----------------------------------------------------------------- op4
 def test_maxscore(spark):
     rng = np.random.default_rng(2)
