@@ -114,7 +114,7 @@ def regions(docs: DataFrame, marks: DataFrame, widths: list[int]) -> DataFrame:
         hits = F.concat(none, *[numbered(own, width) for width in widths])
         return let(hits, lambda h: F.when(F.size(h) > 0, F.struct(own.alias("words"), h.alias("hits"))))
 
-    rows = docs.select("doc_id", F.xxhash64("text").alias("hash"), let(words(F.col("text")), found).alias("r"))
+    rows = docs.select("doc_id", text_hash(F.col("text")).alias("hash"), let(words(F.col("text")), found).alias("r"))
     return rows.where("r IS NOT NULL").select("doc_id", "hash", "r.words", "r.hits")
 
 
@@ -141,7 +141,18 @@ def starts(similarity: float) -> Column:
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """``doc_id, item_id, start, n_words, distance, similarity``: for each text
-    and item the best window at ``similarity`` or more; positions count words."""
+    and item the best window at ``similarity`` or more; positions count words.
+    Texts that share an id, or have none, are told apart."""
+    return found_in(docs, benchmark, similarity, radius).drop("hash")
+
+
+def text_hash(text: Column) -> Column:
+    """Tells texts of one id apart; a null text is an empty one."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def found_in(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
+    """``contaminated`` with the ``text_hash`` of the text as ``hash``."""
     require(docs, ["doc_id", "text"])
     require(benchmark, ["item_id", "text"])
     items = stage(benchmark.select("item_id", words(F.col("text")).alias("words")).where(F.size("words") > 0).select(
@@ -152,7 +163,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
         own = items.where(F.col("width") == width).select("width", "size", F.explode(hashes(F.col("words"), width)).alias("h"))
         marks = own.distinct() if marks is None else marks.union(own.distinct())
     if marks is None:
-        return docs.select("doc_id", F.lit(None).cast("long").alias("item_id"), F.lit(0).alias("start"), F.lit(0).alias("n_words"),
+        return docs.select("doc_id", F.lit(0).cast("long").alias("hash"), F.lit(None).cast("long").alias("item_id"), F.lit(0).alias("start"), F.lit(0).alias("n_words"),
                            F.lit(0).alias("distance"), F.lit(0.0).alias("similarity")).limit(0)
     marks = stage(marks)
     held = stage(regions(docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")), marks, widths))
@@ -165,10 +176,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     same = cuts.select(F.col("doc_id").alias("_d"), F.col("hash").alias("_h"), "cuts")
     once = held.dropDuplicates(["doc_id", "hash"]).drop("hits")
     window = once.join(same, (F.col("hash") == F.col("_h")) & F.col("doc_id").eqNullSafe(F.col("_d"))).select(
-        "doc_id", "words", F.explode("cuts").alias("c")).select(
-        "doc_id", "words", "c.size", F.explode(F.sequence("c.first", "c.last")).alias("start")).select(
-        "doc_id", "start", "size", F.slice("words", F.col("start") + 1, F.col("size")).alias("window"))
-    windows = stage(window.select("doc_id", "start", "size", F.size("window").alias("n_words"), "window").withColumn(
+        "doc_id", "hash", "words", F.explode("cuts").alias("c")).select(
+        "doc_id", "hash", "words", "c.size", F.explode(F.sequence("c.first", "c.last")).alias("start")).select(
+        "doc_id", "hash", "start", "size", F.slice("words", F.col("start") + 1, F.col("size")).alias("window"))
+    windows = stage(window.select("doc_id", "hash", "start", "size", F.size("window").alias("n_words"), "window").withColumn(
         "wid", F.md5(F.concat_ws(" ", F.col("size").cast("string"), F.concat_ws(" ", "window")).cast("binary"))))
     contents = stage(windows.groupBy("wid").agg(F.first("size").alias("size"), F.first("window").alias("window"))).select(
         "wid", "size", let(F.col("window"), shingles).alias("shingles"))
@@ -191,12 +202,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     value = F.col("both") / (F.col("nw") + F.col("ni") - F.col("both"))
     good = stage(sizes.withColumn("similarity", value).where(F.col("similarity") >= similarity).select("wid", "iid", "distance", "similarity"))
     best = F.max_by(F.struct("start", "n_words", "distance", "similarity"), F.struct("similarity", -F.col("start"))).alias("w")
-    return (windows.select("doc_id", "start", "n_words", "wid").join(good, "wid").join(texts.select("iid", "item_id"), "iid")
-            .groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "w.*"))
+    return (windows.select("doc_id", "hash", "start", "n_words", "wid").join(good, "wid").join(texts.select("iid", "item_id"), "iid")
+            .groupBy("doc_id", "hash", "item_id").agg(best).select("doc_id", "hash", "item_id", "w.*"))
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, **options: float) -> DataFrame:
-    """``docs`` without the rows that hold a benchmark item.  The found ids are
-    written first, so their size is known when the join is planned."""
-    found = stage(contaminated(docs, benchmark, **options).select(F.col("doc_id").alias("_found")).distinct())
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_found")), "left_anti")
+    """``docs`` without the rows that hold a benchmark item, told by id and text:
+    a clean row stays, whatever other rows have its id or, like it, none.  What
+    was found is written first, so its size is known when the join is planned."""
+    found = stage(found_in(docs, benchmark, **options).select(F.col("doc_id").alias("_found"), F.col("hash").alias("_hash")).distinct())
+    same = F.col("doc_id").eqNullSafe(F.col("_found")) & (text_hash(F.col("text")) == F.col("_hash"))
+    return docs.join(found, same, "left_anti")

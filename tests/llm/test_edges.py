@@ -195,6 +195,21 @@ def test_decontamination_moved_parts(spark):
     assert {(r.doc_id, r.item_id): round(r.similarity, 9) for r in found} == want
 
 
+def test_decontamination_tells_texts_of_one_id_apart(spark):
+    """A contaminated row without an id, or of a shared one, takes no clean row with it."""
+    rng = random.Random(13)
+    item = prose(rng, 40)
+    bad, worse, clean = "x " + item + " y", prose(rng, 9) + " " + item, [prose(rng, 30) for _ in range(3)]
+    rows = [(None, bad), (None, clean[0]), (None, None), (1, bad), (1, clean[1]), (1, worse), (2, clean[2])]
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    left = decontam_simhash.keep_clean(docs_of(spark, rows), bench)
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted(
+        [(None, clean[0]), (None, None), (1, clean[1]), (2, clean[2])], key=str)
+    found = decontam_simhash.contaminated(docs_of(spark, rows), bench)
+    assert found.columns == ["doc_id", "item_id", "start", "n_words", "distance", "similarity"]
+    assert sorted(((r.doc_id, r.start) for r in found.collect()), key=str) == [(1, 1), (1, 9), (None, 1)]
+
+
 # ----------------------------------------------------------------- op4
 def test_maxscore(spark):
     rng = np.random.default_rng(2)
