@@ -130,3 +130,11 @@ def op9_extendible_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_toxicity_subword(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabprep.llm import toxicity
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op11_whitening")
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabprep.llm import whitening
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"), scale=256, k=4)
+    # the contract's type is long; null where the exact value needs more bits
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
