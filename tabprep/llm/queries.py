@@ -138,3 +138,12 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = whitening.whiten(table(spark, sf_dir, "embeddings"), scale=256, k=4)
     # the contract's type is long; null where the exact value needs more bits
     return found.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
+@register("op13_swap_packing")
+def op13_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from tabprep.llm import packing
+    cut = packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                         public_tokenizers.PATTERN, cap=2048, end=0)
+    return packing.pack(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), cap=2048)
