@@ -47,6 +47,8 @@ from tabprep.llm.common import require, stage
 GROUP_ROWS = 8192
 #: Share of a group's pieces, those of its least full bins, that go to the next round.
 OPEN_SHARE = 1 / 32
+#: Moves and exchanges that a group's search looks for at most.
+STEPS = 2000
 #: Bytes of text encoded together.
 SLICE_BYTES = 8 << 20
 #: Bytes of distinct words handed to the encoder at once.
@@ -199,29 +201,40 @@ def best_fit(sizes: list[int], cap: int) -> list[list[int]]:
 
 
 class Search:
-    """Local search among underfull bins: ``bins`` are lists of positions."""
+    """Local search among underfull bins: ``bins`` are lists of positions.  At
+    most ``steps`` moves and exchanges are looked for, so a group's time is bounded."""
 
-    def __init__(self, sizes: list[int], bins: list[list[int]], cap: int):
-        self.size, self.cap = np.array(sizes, dtype=np.int64), cap
+    def __init__(self, sizes: list[int], bins: list[list[int]], cap: int, steps: int = STEPS):
+        self.size, self.cap, self.steps = np.array(sizes, dtype=np.int64), cap, steps
         self.bins = [list(b) for b in bins]
         self.home = np.zeros(len(sizes), dtype=np.int64)
         for b, held in enumerate(self.bins):
             self.home[held] = b
         self.room = np.array([cap - int(self.size[b].sum()) for b in self.bins], dtype=np.int64)
         self.least = -(-int(self.size.sum()) // cap)
+        # two items for every sum that two of a bin have: bin, its version, sum, items
+        self.version = np.zeros(len(bins), dtype=np.int64)
+        self.twos = np.zeros((0, 5), dtype=np.int64)
 
     def run(self) -> list[list[int]]:
         """Bins after the search; the sum of squared fills only grows."""
-        while sum(map(bool, self.bins)) > self.least:
-            open_ = [b for b in np.argsort(-self.room, kind="stable") if self.bins[b] and self.room[b] > 0]
-            if not any(self.relieve(int(b)) for b in open_):
+        left = sum(map(bool, self.bins))
+        if left > self.least:
+            self.twos = np.concatenate([self.twos, *(self.pairs(b) for b in np.nonzero(self.room > 0)[0].tolist())])
+        while left > self.least and self.steps > 0:
+            open_ = [b for b in np.argsort(-self.room, kind="stable").tolist() if self.bins[b] and self.room[b] > 0]
+            if not any(self.relieve(b) for b in open_):
                 break
+            left = sum(map(bool, self.bins))
         return [b for b in self.bins if b]
 
     def relieve(self, v: int) -> bool:
         """Hand items of bin ``v`` over to fuller bins while an exchange is found."""
         done = False
-        while self.bins[v] and (step := self.step(v)):
+        while self.bins[v] and self.steps > 0:
+            self.steps -= 1
+            if not (step := self.step(v)):
+                break
             given, taken, u = step
             for k in given:
                 self.bins[v].remove(k)
@@ -234,59 +247,51 @@ class Search:
             gain = int(self.size[given].sum() - self.size[taken].sum())
             self.room[u] -= gain
             self.room[v] += gain
+            self.version[[u, v]] += 1
+            self.twos = np.concatenate([self.twos[self.version[self.twos[:, 0]] == self.twos[:, 1]], self.pairs(u), self.pairs(v)])
             done = True
         return done
 
     def step(self, v: int) -> tuple[list[int], list[int], int] | None:
-        """The move, else the exchange, that takes most out of ``v``: items
-        given, items taken and the other bin, which is at least as full."""
+        """A move, else the exchange that takes most out of ``v``: items given,
+        items taken and the other bin, which is at least as full."""
         other = (self.room > 0) & (self.room <= self.room[v])
         other[v] = False
-        mine = sorted(self.bins[v], key=lambda k: -self.size[k])
-        for k in mine:  # move
+        for k in sorted(self.bins[v], key=lambda k: -self.size[k]):
             fits = np.nonzero(other & (self.room >= self.size[k]))[0]
             if len(fits):
                 return [k], [], int(fits[np.argmin(self.room[fits])])
-        theirs = np.nonzero(other[self.home])[0]
-        if not len(theirs):
-            return None
-        size, room = self.size[theirs], self.room[self.home[theirs]]
-        ones = {int(self.size[k]): [k] for k in mine}
+        ones = {int(self.size[k]): [k] for k in self.bins[v]}
+        twos = {int(s): [int(a), int(b)] for _, _, s, a, b in self.pairs(v)}
+        single = np.nonzero(other[self.home])[0]
+        double = self.twos[other[self.twos[:, 0]]]
         best, step = 0, None
-        for s, given in ones.items():  # one for one
-            gain = s - size
-            gain[gain > room] = 0
-            at = int(np.argmax(gain))
-            if gain[at] > best:
-                best, step = int(gain[at]), (given, [int(theirs[at])], int(self.home[theirs[at]]))
-        twos = self.pairs(mine)
-        for s, given in twos.items():  # two for one
-            gain = s - size
-            gain[gain > room] = 0
-            at = int(np.argmax(gain))
-            if gain[at] > best:
-                best, step = int(gain[at]), (given, [int(theirs[at])], int(self.home[theirs[at]]))
-        if step:
-            return step
-        most = max(ones)
-        for u in np.nonzero(other)[0].tolist():  # one for two
-            for s, taken in self.pairs(self.bins[u]).items():
-                for one, given in ones.items() if s < most else ():
-                    if best < one - s <= self.room[u]:
-                        best, step = one - s, (given, taken, u)
+        for give, size, home, items in ((ones, self.size[single], self.home[single], single[:, None]),
+                                        (twos, self.size[single], self.home[single], single[:, None]),
+                                        (ones, double[:, 2], double[:, 0], double[:, 3:])):
+            if not len(size):
+                continue
+            room = self.room[home]
+            for s, given in give.items():
+                gain = s - size
+                gain[gain > room] = 0
+                at = int(np.argmax(gain))
+                if gain[at] > best:
+                    best, step = int(gain[at]), (given, items[at].tolist(), int(home[at]))
         return step
 
-    def pairs(self, held: list[int]) -> dict[int, list[int]]:
-        """Two of these items for every sum that two of them have."""
+    def pairs(self, b: int) -> np.ndarray:
+        """Rows of ``twos`` for the items that bin ``b`` holds now."""
         by_size = defaultdict(list)
-        for k in held:
+        for k in self.bins[b]:
             by_size[int(self.size[k])].append(k)
-        sums = {2 * s: ks[:2] for s, ks in by_size.items() if len(ks) > 1}
-        kinds = sorted(by_size)
-        for i, a in enumerate(kinds):
-            for b in kinds[i + 1:]:
-                sums.setdefault(a + b, [by_size[a][0], by_size[b][0]])
-        return sums
+        kinds, sums = sorted(by_size), {}
+        for i, x in enumerate(kinds):
+            if len(by_size[x]) > 1:
+                sums.setdefault(2 * x, by_size[x][:2])
+            for y in kinds[i + 1:]:
+                sums.setdefault(x + y, [by_size[x][0], by_size[y][0]])
+        return np.array([(b, self.version[b], s, *two) for s, two in sums.items()], dtype=np.int64).reshape(-1, 5)
 
 
 def pack_sizes(sizes: list[int], cap: int) -> list[list[int]]:

@@ -147,3 +147,26 @@ def op13_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
                          public_tokenizers.PATTERN, cap=2048, end=0)
     return packing.pack(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), cap=2048)
+
+
+@register("op12_phrase_collocations", sql=r"""
+    WITH d AS (SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+    p AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+    w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+    n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY 1),
+    g AS (SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: w[i:i + m - 1])) AS g
+          FROM w, (SELECT unnest(range(1, 6)) AS m) WHERE len(w) >= m),
+    f AS (SELECT lang, m, array_to_string(g, ' ') AS phrase, any_value(g) AS g, count(*) AS a FROM g GROUP BY 1, 2, 3 HAVING count(*) >= 100),
+    x AS (SELECT DISTINCT lang, unnest([array_to_string(g[1:m - 1], ' '), array_to_string(g[2:m], ' ')]) AS phrase, a FROM f WHERE m > 2),
+    c AS (SELECT f.*, unnest(range(1, m)) AS k FROM f ANTI JOIN x ON f.lang = x.lang AND f.phrase = x.phrase AND f.a = x.a WHERE m > 1),
+    s AS (SELECT c.lang, c.phrase, c.a, c.k, l.a AS l, r.a AS r, n.n, (1000::HUGEINT * c.a * n.n) // (l.a::HUGEINT * r.a) AS score
+          FROM c JOIN n ON n.lang = c.lang JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.g[1:k], ' ')
+          JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.g[k + 1:m], ' ')),
+    t AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+    SELECT lang, CAST(row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS BIGINT) AS rank,
+        phrase, a, l, r, n, score::BIGINT AS score FROM t QUALIFY rank <= 2000""")
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabprep.llm import phrases
+    found = phrases.mine(table(spark, sf_dir, "documents"), least=100, top=2000)
+    return found.withColumn("rank", F.col("rank").cast("long"))
