@@ -161,8 +161,8 @@ def op13_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     x AS (SELECT DISTINCT lang, unnest([array_to_string(g[1:m - 1], ' '), array_to_string(g[2:m], ' ')]) AS phrase, a FROM f WHERE m > 2),
     c AS (SELECT f.*, unnest(range(1, m)) AS k FROM f ANTI JOIN x ON f.lang = x.lang AND f.phrase = x.phrase AND f.a = x.a WHERE m > 1),
     s AS (SELECT c.lang, c.phrase, c.a, c.k, l.a AS l, r.a AS r, n.n, (1000::HUGEINT * c.a * n.n) // (l.a::HUGEINT * r.a) AS score
-          FROM c JOIN n ON n.lang = c.lang JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.g[1:k], ' ')
-          JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.g[k + 1:m], ' ')),
+          FROM c JOIN n ON n.lang = c.lang JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.g[1:c.k], ' ')
+          JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.g[c.k + 1:c.m], ' ')),
     t AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
     SELECT lang, CAST(row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS BIGINT) AS rank,
         phrase, a, l, r, n, score::BIGINT AS score FROM t QUALIFY rank <= 2000""")
