@@ -2,8 +2,8 @@
 
 A text is cut by the vocabulary's pattern; each match is mapped byte by byte to
 the 256 printable characters of byte-level BPE and merged by ``tokenizers``.
-Matches repeat heavily, so a worker keeps the library's answers in a bounded
-cache; a text's ids are then the joined answers.  Offsets are code points of
+Matches repeat heavily, so a task keeps the library's answers in a cache of
+bounded size, its own and gone with it; a text's ids are then the joined answers.  Offsets are code points of
 the text: a token's bytes are mapped to the characters that own them, and the
 match's own start is added.  A character whose bytes fall into several tokens
 belongs to all of them.  Decoding turns ids into their byte-level strings, reverses the byte
@@ -19,16 +19,22 @@ columns pass through.  Special-token strings in a text are ordinary text.
 from __future__ import annotations
 
 import base64
+import hashlib
+import struct
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Distinct matches in one generation of a worker's cache.
-CACHE_MATCHES = 100_000
+from tabprep.llm.common import with_row
+
+#: Distinct matches in one generation of a task's cache, and the characters of
+#: the longest one that is kept.
+CACHE_MATCHES = 60_000
+CACHE_CHARS = 64
 #: Texts handled together inside a task.
 SLICE_ROWS = 256
 
@@ -59,6 +65,8 @@ class Answers(dict):
         answer = self.old.get(match)
         if answer is None:
             answer = self.ask(match)
+        if len(match) > CACHE_CHARS:
+            return answer
         if len(self) >= self.size:
             self.old = dict(self)
             self.clear()
@@ -67,7 +75,7 @@ class Answers(dict):
 
 
 class Codec:
-    """One worker's tokenizer: pattern, merges, byte table and known matches."""
+    """One task's tokenizer: pattern, merges, byte table and known matches."""
 
     def __init__(self, path: str, pattern: str):
         import regex
@@ -93,47 +101,29 @@ class Codec:
         self.pattern = regex.compile(pattern)
         self.to_chars = {b: c for b, c in enumerate(chars)}
         self.token_bytes = decoder(path)
-        self.ids = Answers(self.match_ids)
-        self.spans = Answers(self.match_spans)
-
-    def merged(self, match: str) -> list:
-        """The library's tokens of one match."""
-        return self.model.tokenize(match.encode().decode("latin-1").translate(self.to_chars))
+        self.blocks = Answers(self.block)
 
-    def match_ids(self, match: str) -> bytes:
-        return b"".join(token.id.to_bytes(4, "little") for token in self.merged(match))
-
-    def match_spans(self, match: str) -> list[tuple[int, int]]:
-        """First code point and end of each token: its bytes mapped to the
-        characters that own them."""
+    def block(self, match: str) -> bytes:
+        """The library's tokens of one match: id, first code point and end of
+        each, its bytes mapped to the characters that own them."""
         owner = [k for k, c in enumerate(match) for _ in range(len(c.encode()))]
-        spans, at = [], 0
-        for token in self.merged(match):
+        out, at = [], 0
+        for token in self.model.tokenize(match.encode().decode("latin-1").translate(self.to_chars)):
             end = at + len(self.token_bytes[token.id])
-            spans.append((owner[at], owner[end - 1] + 1))
+            out += (token.id, owner[at], owner[end - 1] + 1)
             at = end
-        return spans
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        ids = self.ids.__getitem__
-        return [b"".join(map(ids, self.pattern.findall(text))) for text in texts]
-
-    def offsets(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
-        """Start and end code points of each text's tokens."""
-        found = []
-        for text in texts:
-            at, starts, ends = 0, [], []
-            for match in self.pattern.findall(text):
-                for first, end in self.spans[match]:
-                    starts.append(at + first)
-                    ends.append(at + end)
-                at += len(match)
-            found.append((starts, ends))
-        return found
-
-
-@lru_cache(maxsize=2)
+        return struct.pack(f"<{len(out)}I", *out)
+
+    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a text, and start and end code points of its tokens."""
+        matches = self.pattern.findall(text)
+        blocks = list(map(self.blocks.__getitem__, matches))
+        tokens = np.frombuffer(b"".join(blocks), dtype="<u4").reshape(-1, 3)
+        size = np.fromiter(map(len, matches), dtype=np.int64, count=len(matches))
+        per = np.fromiter(map(len, blocks), dtype=np.int64, count=len(blocks)) // 12
+        return tokens[:, 0], tokens[:, 1:] + np.repeat(np.cumsum(size) - size, per).astype("<u4")[:, None]
+
+
 def decoder(path: str) -> dict[int, bytes]:
     """Bytes of every id: its byte-level string through the reversed table.
     Decoding tasks hold this table only, not the merges."""
@@ -148,64 +138,83 @@ def decoded(ids: bytes, table: dict[int, bytes]) -> bytes:
     return b"".join(map(table.__getitem__, memoryview(ids).cast("I").tolist()))
 
 
-@lru_cache(maxsize=2)
-def codec(path: str, pattern: str) -> Codec:
-    return Codec(path, pattern)
+def _coded(df: DataFrame, path: str, pattern: str, text_col: str, new: list[T.StructField],
+           columns: Callable[[Codec, list[tuple[np.ndarray, np.ndarray]]], list[pa.Array]], keep: list[str]) -> DataFrame:
+    """``keep`` and the columns that ``columns`` makes of each text's ids and
+    spans, all by one Python worker a task."""
+    row = F.struct(*[F.col(f"`{c}`") for c in keep]) if keep else F.struct(F.lit(0).alias("none"))
+    held = df.select(row.alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    schema = T.StructType([held.schema["row"], *new])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Codec(path, pattern)
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE_ROWS):
+                batch = whole.slice(at, SLICE_ROWS)
+                coded = [own.encode(t or "") for t in batch.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0), *columns(own, coded)], names=schema.names)
 
-def _with_columns(df: DataFrame, new: list[T.StructField]) -> tuple[list[str], T.StructType]:
-    names = {f.name for f in new}
-    kept = [f for f in df.schema.fields if f.name not in names]
-    return [f.name for f in kept], T.StructType(kept + new)
+    return held.mapInArrow(run, schema).select(
+        *[F.col("row").getField(c).alias(c) for c in keep], *[F.col(f.name) for f in new])
 
 
-def encode(df: DataFrame, path: str, pattern: str, text_col: str = "text", offsets: bool = False) -> DataFrame:
+def encode(df: DataFrame, path: str, pattern: str, text_col: str = "text", offsets: bool = False,
+           decoded_col: str | None = None, keep: list[str] | None = None) -> DataFrame:
     """Add ``ids`` (binary, little-endian unsigned 32-bit) and ``n_tokens``;
-    with ``offsets`` also ``starts`` and ``ends`` (array<int>, code points)."""
+    with ``offsets`` also ``starts`` and ``ends`` (array<int>, code points);
+    with ``decoded_col`` also the bytes that the ids stand for.  ``keep``: the
+    columns that pass through, all if not given."""
     new = [T.StructField("ids", T.BinaryType()), T.StructField("n_tokens", T.LongType())]
     if offsets:
         new += [T.StructField(c, T.ArrayType(T.IntegerType())) for c in ("starts", "ends")]
-    kept, schema = _with_columns(df, new)
-    source = "_bpe_text"
-    while source in df.columns:
-        source += "_"
+    if decoded_col:
+        new.append(T.StructField(decoded_col, T.BinaryType()))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(path, pattern)
-        for whole in batches:
-            for at in range(0, whole.num_rows, SLICE_ROWS):
-                batch = whole.slice(at, SLICE_ROWS)
-                texts = [t or "" for t in batch.column(source).to_pylist()]
-                ids = own.encode(texts)
-                arrays = [batch.column(c) for c in kept]
-                arrays += [pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())]
-                if offsets:
-                    spans = own.offsets(texts)
-                    arrays += [pa.array([s[k] for s in spans], pa.list_(pa.int32())) for k in (0, 1)]
-                yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+    def columns(own: Codec, coded: list[tuple[np.ndarray, np.ndarray]]) -> list[pa.Array]:
+        ids = [i.tobytes() for i, _ in coded]
+        arrays = [pa.array(ids, pa.binary()), pa.array([len(i) for i, _ in coded], pa.int64())]
+        if offsets:
+            ends = np.cumsum([0] + [len(i) for i, _ in coded], dtype=np.int64).astype(np.int32)
+            spans = np.concatenate([s for _, s in coded]).astype(np.int32) if coded else np.zeros((0, 2), np.int32)
+            arrays += [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.ascontiguousarray(spans[:, k]))) for k in (0, 1)]
+        if decoded_col:
+            arrays.append(pa.array([decoded(i, own.token_bytes) for i in ids], pa.binary()))
+        return arrays
 
-    held = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`").cast("string").alias(source))
-    return held.mapInArrow(run, schema)
+    names = {f.name.lower() for f in new}
+    return _coded(df, path, pattern, text_col, new, columns, [c for c in (df.columns if keep is None else keep) if c.lower() not in names])
 
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     """Add ``decoded`` (binary: the bytes the ids stand for; null ids: empty)."""
-    kept, schema = _with_columns(df, [T.StructField("decoded", T.BinaryType())])
+    held = with_row(df, ids=F.col(f"`{ids_col}`"))
+    schema = T.StructType([held.schema["row"], T.StructField("decoded", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = decoder(path)
         for whole in batches:
             for at in range(0, whole.num_rows, SLICE_ROWS):
                 batch = whole.slice(at, SLICE_ROWS)
-                out = [decoded(x or b"", table) for x in batch.column(ids_col).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + [pa.array(out, pa.binary())],
-                                                 names=schema.names)
+                out = [decoded(x or b"", table) for x in batch.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=schema.names)
 
-    return df.mapInArrow(run, schema)
+    kept = [F.col("row").getField(c).alias(c) for c in df.columns if c.lower() != "decoded"]
+    return held.mapInArrow(run, schema).select(*kept, "decoded")
 
 
 def round_trip(df: DataFrame, path: str, pattern: str, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """Encode, decode and reduce to digests: one row per input row."""
-    coded = encode(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), path, pattern)
-    return decode(coded.select("doc_id", "n_tokens", "ids"), path).select(
-        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    """Encode, decode and reduce to digests: one row per input row, with
+    ``n_tokens`` and the SHA-256 of ids, offsets (start and end of each token,
+    little-endian unsigned 32-bit) and decoded bytes."""
+    names = ("ids_sha256", "offsets_sha256", "decoded_sha256")
+    new = [T.StructField("n_tokens", T.LongType()), *[T.StructField(c, T.StringType()) for c in names]]
+    digest = lambda data: hashlib.sha256(data).hexdigest()
+
+    def columns(own: Codec, coded: list[tuple[np.ndarray, np.ndarray]]) -> list[pa.Array]:
+        ids = [i.tobytes() for i, _ in coded]
+        return [pa.array([len(i) for i, _ in coded], pa.int64()), pa.array(map(digest, ids), pa.string()),
+                pa.array([digest(s.tobytes()) for _, s in coded], pa.string()),
+                pa.array([digest(decoded(i, own.token_bytes)) for i in ids], pa.string())]
+
+    own = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    return _coded(own, path, pattern, "text", new, columns, ["doc_id"])

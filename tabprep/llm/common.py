@@ -60,6 +60,25 @@ def require(df: DataFrame, columns: Iterable[str]) -> None:
         raise ValueError(f"missing columns {missing}; have {df.columns}")
 
 
+def free(columns: Iterable[str], name: str) -> str:
+    """``name``, or a longer one that no column has in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def with_row(df: DataFrame, **read: Column) -> DataFrame:
+    """Each row whole as ``row`` beside the columns that an operator reads under
+    names of its own, so that no input column can clash with what it adds."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *[c.alias(name) for name, c in read.items()])
+
+
+def whole_rows(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """The input's columns again, from ``row``."""
+    return df.select(*[F.col("row").getField(c).alias(c) for c in columns])
+
+
 def fold(doc_id: Column, parts: int) -> Column:
     """crc32 of the id's text modulo ``parts``; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts

@@ -34,7 +34,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabprep.llm.common import let, require, stage
+from tabprep.llm.common import whole_rows, with_row, let, require, stage
 from tabprep.llm.url_cascade import MAX_BITS, build_level, level_size
 
 WIDTH = 5
@@ -208,8 +208,11 @@ def found_in(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARI
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, **options: float) -> DataFrame:
     """``docs`` without the rows that hold a benchmark item, told by id and text:
-    a clean row stays, whatever other rows have its id or, like it, none.  What
-    was found is written first, so its size is known when the join is planned."""
-    found = stage(found_in(docs, benchmark, **options).select(F.col("doc_id").alias("_found"), F.col("hash").alias("_hash")).distinct())
-    same = F.col("doc_id").eqNullSafe(F.col("_found")) & (text_hash(F.col("text")) == F.col("_hash"))
-    return docs.join(found, same, "left_anti")
+    a clean row stays, whatever other rows have its id or, like it, none.
+    Columns of any name pass through.  What was found is written first, so its
+    size is known when the join is planned."""
+    found = stage(found_in(docs.select("doc_id", "text"), benchmark, **options).select(
+        F.col("doc_id").alias("found_id"), F.col("hash").alias("found_hash")).distinct())
+    same = F.col("id").eqNullSafe(F.col("found_id")) & (F.col("hash") == F.col("found_hash"))
+    held = with_row(docs, id=F.col("doc_id"), hash=text_hash(F.col("text")))
+    return whole_rows(held.join(found, same, "left_anti"), docs.columns)

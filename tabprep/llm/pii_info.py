@@ -36,7 +36,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabprep.llm.common import let, require, stage
+from tabprep.llm.common import with_row, let, require, stage
 
 #: Kinds of base spans in the order of ties, and the kind of added spans.
 KINDS = ("email", "ip", "card", "phone")
@@ -252,7 +252,7 @@ def sanitise(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
     """``df`` with personal data replaced: base spans by their kind in square
     brackets, generalised terms by ``[TERM]``, removed terms by nothing.  A
     length column of that name is brought up to date."""
-    rows = annotate(df, id_col, text_col, **thresholds)
+    rows = annotate(with_row(df, doc_id=F.col(f"`{id_col}`"), text=F.col(f"`{text_col}`")), "doc_id", "text", **thresholds)
     text = F.col("_text")
     labels = F.array(*[F.lit(f"[{k.upper()}]") for k in (*KINDS, TERM)])
     first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
@@ -265,8 +265,14 @@ def sanitise(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
 
     whole = F.aggregate(_all_spans(), first, add, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
     touched = (F.size("_base") > 0) | (F.size("_added") > 0)
-    out = rows.withColumn(text_col, F.when(touched, whole).otherwise(F.col(f"`{text_col}`")))
-    if length_col in df.columns:
-        kind = dict(df.dtypes)[length_col]
-        out = out.withColumn(length_col, F.when(touched, F.length(F.col(f"`{text_col}`")).cast(kind)).otherwise(F.col(f"`{length_col}`")))
-    return out.select(*[F.col(f"`{c}`") for c in df.columns])
+    out = rows.withColumns({"_fresh": F.when(touched, whole).otherwise(F.col("text")), "_touched": touched})
+
+    def kept(name: str) -> Column:
+        old = F.col("row").getField(name)
+        if name == text_col:
+            return F.col("_fresh").alias(name)
+        if name == length_col:
+            return F.when(F.col("_touched"), F.length("_fresh").cast(df.schema[name].dataType)).otherwise(old).alias(name)
+        return old.alias(name)
+
+    return out.select(*map(kept, df.columns))

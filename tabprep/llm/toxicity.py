@@ -27,15 +27,15 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 from operator import mul
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tabprep.llm.common import fold, require, words_of
+from tabprep.llm.common import with_row, fold, require, words_of
 
 FOLDS = 5
 GRAMS = (3, 4, 5, 6)
@@ -59,8 +59,8 @@ SCALE = 100.0
 SEED = 7
 SAMPLE_ROWS = 4000
 SAMPLE_BYTES = 24 << 20
-#: Words of a worker's cache, and texts scored together.
-CACHE_WORDS = 150_000
+#: Words of a task's cache, and texts scored together.
+CACHE_WORDS = 100_000
 SLICE_ROWS = 256
 #: Factor of the n-grams' rolling hash.
 PRIME = np.uint32(0x01000193)
@@ -236,7 +236,7 @@ def train(steps: list[Batch], epochs: int, seed: int) -> Model:
 
 
 class Margins(dict):
-    """Margin of each word that a worker has met; it starts anew when full."""
+    """Margin of each word that a task has met; it starts anew when full."""
 
     def __init__(self, model: Model):
         super().__init__()
@@ -269,12 +269,6 @@ class Margins(dict):
         return out
 
 
-@lru_cache(maxsize=1)
-def margins_of(bucket: bytes, bias: float) -> Margins:
-    """The worker's cache for a model; it outlives a task."""
-    return Margins(Model(np.frombuffer(bucket, np.float32), bias))
-
-
 def training_sample(docs: DataFrame, labels: DataFrame, sample_rows: int, sample_bytes: int) -> DataFrame:
     """``doc_id, toxic, text`` of the bounded sample of training rows.  The
     driver sees at most ``sample_rows`` ids and sizes, no text."""
@@ -296,27 +290,24 @@ def training_sample(docs: DataFrame, labels: DataFrame, sample_rows: int, sample
 
 
 def score(df: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
-    """``df`` with the probability of the toxic class; a column of that name is
-    replaced, all others pass through."""
-    kept = [f for f in df.schema.fields if f.name != score_col]
-    names = [f.name for f in kept]
-    source = "_toxic_text"
-    while source in df.columns:
-        source += "_"
-    schema = type(df.schema)(kept).add(score_col, "double")
+    """``df`` with the probability of the toxic class; a column of that name (in
+    any case) is replaced, all others, whatever their names, pass through."""
+    kept = [c for c in df.columns if c.lower() != score_col.lower()]
+    held = with_row(df, text=F.col(f"`{text_col}`").cast("string"))
+    schema = T.StructType([held.schema["row"], T.StructField("score", T.DoubleType())])
     shared = df.sparkSession.sparkContext.broadcast((model.bucket.tobytes(), model.bias))  # BUCKETS floats
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        margins = margins_of(*shared.value)
+        bucket, bias = shared.value
+        margins = Margins(Model(np.frombuffer(bucket, np.float32), bias))  # the task's own
         for whole in batches:
             for at in range(0, whole.num_rows, SLICE_ROWS):
                 batch = whole.slice(at, SLICE_ROWS)
-                found = margins.probabilities(batch.column(source).to_pylist())
-                yield pa.RecordBatch.from_arrays([batch.column(c) for c in names] + [pa.array(found, pa.float64())],
-                                                 names=schema.names)
+                found = margins.probabilities(batch.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64())], names=["row", "score"])
 
-    held = df.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{text_col}`").cast("string").alias(source))
-    return held.mapInArrow(run, schema)
+    scored = held.mapInArrow(run, schema)
+    return scored.select(*[F.col("row").getField(c).alias(c) for c in kept], F.col("score").alias(score_col))
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES) -> Model:

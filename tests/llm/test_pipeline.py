@@ -10,7 +10,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 from test_edges import similar
-from test_queries import base_spans, simhash
+from test_queries import base_spans, simhash, token_spans
 
 from tabprep.llm import pii_info, toxicity
 from tabprep.llm.common import table
@@ -111,21 +111,27 @@ def test_pipeline_matches_brute_force(spark, sf):
         ids = enc.encode_ordinary(t)
         assert got[d].decoded_sha256 == hashlib.sha256(t.encode()).hexdigest()
         assert got[d].ids_sha256 == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest() and got[d].n_tokens == len(ids)
+        assert list(zip(got[d].starts, got[d].ends)) == token_spans(t, enc.decode_tokens_bytes(ids))
 
 
 def test_stages_keep_odd_rows(spark):
     """Nulls in any column, empty texts, repeated rows and extra columns."""
-    schema = "doc_id long, text string, lang string, source string, n_chars long, ids string, score double, fp long"
-    docs = spark.createDataFrame([(1, None, None, None, None, None, None, None), (2, "", "en", "s", 0, "x", 0.1, 1),
-                                  (3, "plain words of a clean text", "en", "s", 27, "x", 0.1, 1), (None, "no id here at all", "en", "s", 17, "x", 0.1, 1),
-                                  (3, "plain words of a clean text", "en", "s", 27, "x", 0.1, 1)], schema)
+    names = "_id _hash _key _found _text _terms _score _base _added _salt IDS row key id hash score fp kept starts DECODED n".split()
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in names)
+    rows = [(1, None, None, None, None), (2, "", "en", "s", 0), (3, "plain words of a clean text", "en", "s", 27),
+            (None, "no id here at all", "en", "s", 17), (3, "plain words of a clean text", "en", "s", 27),
+            (4, "write to jane.doe@example.org or +49 (30) 1234-5678 soon", "en", "s", 56)]
+    docs = spark.createDataFrame([(*r, *[None if r[1] is None else f"own {c}" for c in names]) for r in rows], schema)
     for name, step in corpus_pipeline.STAGES:
         out = step(spark, docs, SF)
         if name != "byte_bpe":
             assert out.columns == docs.columns
+            assert {r["_text"] for r in out.collect()} == {None, "own _text"} and {r.IDS for r in out.collect()} == {None, "own IDS"}
         ids = [r.doc_id for r in out.collect()]
         if name == "simhash_near_dedup":
-            assert sorted(ids, key=str) == [1, 3, None]  # 1 and 2 are both empty
+            assert sorted(ids, key=str) == [1, 3, 4, None]  # 1 and 2 are both empty
         else:
-            assert sorted(ids, key=str) == [1, 2, 3, 3, None]
+            assert sorted(ids, key=str) == [1, 2, 3, 3, 4, None]
+        if name == "pii":
+            assert [(r.text, r.n_chars) for r in out.collect() if r.doc_id == 4] == [("write to [EMAIL] or [PHONE] soon", 32)]
         assert step(spark, docs.limit(0), SF).count() == 0

@@ -75,6 +75,16 @@ def test_op2_base(spark):
     assert sum(r["n_email"] for r in found) > 0
 
 
+def token_spans(text, pieces):
+    """Start and end code point of each token from the bytes it stands for."""
+    owner = [k for k, c in enumerate(text) for _ in c.encode()]
+    at, spans = 0, []
+    for piece in pieces:
+        spans.append((owner[at], owner[at + len(piece) - 1] + 1))
+        at += len(piece)
+    return spans
+
+
 def test_op5(spark):
     import public_tokenizers as P
     import tiktoken
@@ -89,6 +99,8 @@ def test_op5(spark):
         assert r["n_tokens"] == len(ids)
         assert r["ids_sha256"] == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
         assert r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest()
+        flat = [x for span in token_spans(texts[r["doc_id"]], enc.decode_tokens_bytes(ids)) for x in span]
+        assert r["offsets_sha256"] == hashlib.sha256(struct.pack(f"<{len(flat)}I", *flat)).hexdigest()
 
 
 def test_op6(spark):
