@@ -5,7 +5,8 @@ The source is read and cleaned once: the cleaned rows, with the source's text
 beside them, are written as a columnar staging table in the shared checkpoint
 folder.  Dedup and DQ metrics read the columns they need from it, the gates
 take the cast failures from the metric table, and a failed gate stops the job
-before anything is published.
+before anything is published.  The target is published in two phases: a new
+version is written and checked before the target's name is switched to it.
 """
 
 from __future__ import annotations
@@ -55,7 +56,6 @@ def run_curate(raw: DataFrame, target_table: str | None = None, dq_table: str |
     ``enforce_gates``: every gate (the default), the named ones, or none
     (``False``).  The metric table is written even if a gate fails, so that the
     failure can be looked into; the target is not."""
-    spark = raw.sparkSession
     std = S.standardize_columns(raw)
     missing, _ = S.contract_diff(std.columns)
     S.enforce_contract(std)
@@ -73,6 +73,5 @@ def run_curate(raw: DataFrame, target_table: str | None = None, dq_table: str |
         Q.enforce(gates, gates=None if enforce_gates is True else enforce_gates)
     published = None
     if target_table:
-        io.publish(curated, target_table, fmt)
-        published = io.validate_publish(spark, target_table, curated)
+        published = io.publish_version(curated, target_table, fmt)
     return CurateResult(curated, dq, gates, published)

@@ -98,4 +98,4 @@ AUDIT_CUR = with_ctes(CLEAN_AUDIT_CTE, CURATED_AUDIT_CTE)
 SERVICE = with_ctes(CLEAN_SERVICE_CTE)
 
 # importing the query modules fills QUERIES / ORACLE
-from tabprep.queries import cleaning, evaluation, features, ml, prep, profiling, quality  # noqa: E402,F401
+from tabprep.queries import cleaning, evaluation, features, jobs, ml, prep, profiling, quality  # noqa: E402,F401
