@@ -33,7 +33,7 @@ from tabprep.llm.common import with_row
 
 #: Distinct matches in one generation of a task's cache, and the characters of
 #: the longest one that is kept.
-CACHE_MATCHES = 60_000
+CACHE_MATCHES = 120_000
 CACHE_CHARS = 64
 #: Texts handled together inside a task.
 SLICE_ROWS = 256
@@ -106,9 +106,10 @@ class Codec:
     def block(self, match: str) -> bytes:
         """The library's tokens of one match: id, first code point and end of
         each, its bytes mapped to the characters that own them."""
-        owner = [k for k, c in enumerate(match) for _ in range(len(c.encode()))]
-        out, at = [], 0
-        for token in self.model.tokenize(match.encode().decode("latin-1").translate(self.to_chars)):
+        raw, out, at = match.encode(), [], 0
+        # a character is a byte in most matches; else bytes have owners
+        owner = range(len(raw)) if len(raw) == len(match) else [k for k, c in enumerate(match) for _ in range(len(c.encode()))]
+        for token in self.model.tokenize(raw.decode("latin-1").translate(self.to_chars)):
             end = at + len(self.token_bytes[token.id])
             out += (token.id, owner[at], owner[end - 1] + 1)
             at = end
