@@ -7,10 +7,11 @@ become ``revisit`` records.  Two tables are written: ``payloads`` holds the
 bytes of each address once, deflated; ``headers`` holds every record's header
 block, byte for byte.  Who is the response is settled on ids and digests alone.
 
-*Reading.*  Every stored payload is unpacked once and verified against its
-address; headers are parsed and joined with it on the address, and a record
-whose length or digest differs from its header's is an error.  ``records``
-joins headers with the payload's bytes themselves and returns whole records.
+*Reading.*  Headers are joined with the payloads' bytes on the address and
+every record is rebuilt: ``records`` returns them, ``read`` parses the rebuilt
+bytes back and checks the payload against its address, the record's length and
+its digest; a record that differs is an error.  An address with many records is
+dealt over several join keys, with a copy of its payload for each.
 
 Defined results: a null html is an empty payload and a null url an empty
 target; payloads below ``least_bytes`` are never revisits; a page without an id
@@ -37,6 +38,8 @@ CRLF = "\r\n"
 WARC_DATE = "2024-01-01T00:00:00Z"
 #: Pages handled together inside a task.
 SLICE_ROWS = 256
+#: Records of one address that share a join key, about.
+DEAL_RECORDS = 1000
 
 
 def _payload(html: str | None) -> bytes:
@@ -108,11 +111,14 @@ def write(df: DataFrame, folder: str, least_bytes: int = 0, id_col: str = "page_
     """Write the archive's tables ``headers`` and ``payloads`` below ``folder``."""
     require(df, [id_col, url_col, html_col])
     pages = stage(digests(df, id_col, url_col, html_col))
-    first = pages.groupBy("address").agg(F.max("page_id").alias("response_id"))
+    first = stage(pages.groupBy("address").agg(
+        F.max("page_id").alias("response_id"), F.ceil(F.count(F.lit(1)) / DEAL_RECORDS).cast("int").alias("deals")))
     revisit = (F.col("bytes") >= least_bytes) & F.col("response_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("response_id"))
-    (pages.join(first, "address").select("page_id", "address", header(revisit).alias("header"))
+    (pages.withColumn("number", F.monotonically_increasing_id()).join(first, "address")
+     .select("page_id", "address", F.pmod("number", "deals").cast("int").alias("deal"), header(revisit).alias("header"))
      .write.parquet(f"{folder}/headers"))
     (packed(df, html_col).groupBy("address").agg(F.first("payload").alias("payload"))
+     .join(first.select("address", "deals"), "address")
      .write.option("compression", "none").parquet(f"{folder}/payloads"))
 
 
@@ -124,7 +130,7 @@ def headers(spark: SparkSession, folder: str) -> DataFrame:
     """Every record's header block and the fields parsed from it."""
     page = r"<urn:page:(-?[0-9]+)>"
     return spark.read.parquet(f"{folder}/headers").select(
-        "address", "header",
+        "address", "deal", "header",
         F.regexp_extract(_field("WARC-Record-ID"), page, 1).try_cast("long").alias("page_id"),
         _field("WARC-Type").alias("record_type"),
         F.substring_index(_field("WARC-Payload-Digest"), ":", -1).alias("header_digest"),
@@ -132,36 +138,62 @@ def headers(spark: SparkSession, folder: str) -> DataFrame:
         F.regexp_extract(_field("WARC-Refers-To"), page, 1).try_cast("long").alias("refers_to"))
 
 
-def verified(spark: SparkSession, folder: str) -> DataFrame:
-    """``address, payload_bytes, payload_digest`` of every stored payload,
-    unpacked and checked against its address."""
+def rebuilt(address: bytes, header: bytes, kind: str, raw: bytes) -> bytes:
+    """The whole record: header block, the body it announces, the closing lines."""
+    if hashlib.sha256(raw).digest() != address:
+        raise ValueError(f"payload {address.hex()} does not match its address")
+    return header + (b"" if kind == "revisit" else raw) + (CRLF * 2).encode()
+
+
+def parsed(record: bytes) -> tuple[dict[str, str], bytes]:
+    """A record's header fields and its body, as long as they announce it."""
+    head, _, rest = record.partition(b"\r\n\r\n")
+    version, *lines = head.decode("utf-8", "surrogatepass").split(CRLF)
+    if version != "WARC/1.1":
+        raise ValueError(f"not a record: {version[:40]!r}")
+    fields = dict(line.split(": ", 1) for line in lines)
+    size = int(fields["Content-Length"])
+    if rest[size:] != (CRLF * 2).encode():
+        raise ValueError(f"record {fields['WARC-Record-ID']} is not as long as its header says")
+    return fields, rest[:size]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, SLICE_ROWS):
-                batch = whole.slice(at, SLICE_ROWS)
-                sizes, names = [], []
-                for name, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    raw = zlib.decompress(data)
-                    if hashlib.sha256(raw).digest() != name:
-                        raise ValueError(f"payload {name.hex()} does not match its address")
-                    sizes.append(len(raw))
-                    names.append(base64.b32encode(hashlib.sha1(raw).digest()).decode())
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(names, pa.string())],
-                                                 names=["address", "payload_bytes", "payload_digest"])
 
-    return spark.read.parquet(f"{folder}/payloads").select("address", "payload").mapInArrow(
-        run, "address binary, payload_bytes long, payload_digest string")
+def with_payload(spark: SparkSession, folder: str) -> DataFrame:
+    """Every record's header with the deflated bytes of its payload."""
+    stored = spark.read.parquet(f"{folder}/payloads").select(
+        "address", "payload", F.explode(F.sequence(F.lit(0), F.col("deals") - 1)).alias("deal"))
+    return headers(spark, folder).join(stored, ["address", "deal"], "left")
+
+
+def _page(urn: str | None) -> int | None:
+    number = (urn or "")[len("<urn:page:"):-1]
+    return int(number) if number else None
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per record: its header's facts, checked against its payload."""
-    whole = headers(spark, folder).join(verified(spark, folder), "address", "left")
-    good = (F.col("payload_digest") == F.col("header_digest")) & (
-        F.col("content_length") == F.when(F.col("record_type") == "revisit", 0).otherwise(F.col("payload_bytes")))
-    checked = F.when(F.coalesce(good, F.lit(False)), F.col("payload_digest")).otherwise(
-        F.raise_error(F.concat(F.lit("record does not match its payload: "), F.hex("address"))))
-    return whole.select("page_id", "payload_bytes", checked.alias("payload_digest"), "record_type", "refers_to")
+    """One row per record, taken from the record as rebuilt and checked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            out = []
+            for name, head, kind, data in zip(*[whole.column(i) for i in range(4)]):
+                if not data.is_valid:
+                    raise ValueError(f"no payload at address {name.as_py().hex()}")
+                raw = zlib.decompress(data.as_py())
+                fields, body = parsed(rebuilt(name.as_py(), head.as_py(), kind.as_py(), raw))
+                revisits = fields["WARC-Type"] == "revisit"
+                digest = base64.b32encode(hashlib.sha1(raw if revisits else body).digest()).decode()
+                if fields["WARC-Payload-Digest"] != f"sha1:{digest}":
+                    raise ValueError(f"record {fields['WARC-Record-ID']} does not match its digest")
+                out.append((_page(fields["WARC-Record-ID"]), len(raw if revisits else body), digest, fields["WARC-Type"],
+                            _page(fields.get("WARC-Refers-To"))))
+            columns = list(zip(*out)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+                columns, (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()))],
+                names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
+
+    return with_payload(spark, folder).select("address", "header", "record_type", "payload").mapInArrow(
+        run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
 def records(spark: SparkSession, folder: str) -> DataFrame:
@@ -172,12 +204,10 @@ def records(spark: SparkSession, folder: str) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, SLICE_ROWS):
                 batch = whole.slice(at, SLICE_ROWS)
-                raw = [zlib.decompress(x) for x in batch.column(3).to_pylist()]
-                out = [h + (b"" if kind == "revisit" else x) + (CRLF * 2).encode()
-                       for h, kind, x in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), raw)]
+                raw = [zlib.decompress(x) for x in batch.column(4).to_pylist()]
+                out = [rebuilt(*row) for row in zip(*[batch.column(i).to_pylist() for i in (1, 2, 3)], raw)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary()), pa.array(raw, pa.binary())],
                                                  names=["page_id", "record", "payload"])
 
-    joined = headers(spark, folder).join(spark.read.parquet(f"{folder}/payloads"), "address")
-    return joined.select("page_id", "header", "record_type", "payload").mapInArrow(
+    return with_payload(spark, folder).select("page_id", "address", "header", "record_type", "payload").mapInArrow(
         run, "page_id long, record binary, payload binary")

@@ -2,6 +2,7 @@
 clashing column names, for every operator; small brute-force checks."""
 import math
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -271,6 +272,21 @@ def test_warc(spark, tmp_dir):
     record = next(bytes(r.record) for r in whole if r.page_id == 11)
     head, body = record.split(b"\r\n\r\n", 1)
     assert head.startswith(b"WARC/1.1\r\nWARC-Type: response") and body == ("é" * 100_000).encode() + b"\r\n\r\n"
+    record = next(bytes(r.record) for r in whole if r.page_id == 9)
+    assert warc_cas.parsed(record)[1] == b"" and b"WARC-Type: response" in record
+    for bad in (record[:-1], record.replace(b"Content-Length: 0", b"Content-Length: 1"), record.replace(b"WARC/1.1", b"WARC/9")):
+        with pytest.raises(ValueError):
+            warc_cas.parsed(bad)
+    (spark.read.parquet(f"{tmp_dir}/archive0/payloads").withColumn("payload", F.lit(zlib.compress(b"other")))
+     .write.parquet(f"{tmp_dir}/damaged/payloads"))
+    spark.read.parquet(f"{tmp_dir}/archive0/headers").write.parquet(f"{tmp_dir}/damaged/headers")
+    with pytest.raises(Exception, match="does not match its address"):
+        warc_cas.read(spark, f"{tmp_dir}/damaged").collect()
+    many = spark.createDataFrame([(i, "u", "hot") for i in range(2500)], "page_id long, url string, html string")
+    warc_cas.write(many, f"{tmp_dir}/many")
+    assert spark.read.parquet(f"{tmp_dir}/many/headers").select("deal").distinct().count() == 3
+    got = warc_cas.read(spark, f"{tmp_dir}/many").collect()
+    assert sorted(r.page_id for r in got) == list(range(2500)) and {r.refers_to for r in got} == {None, 2499}
     warc_cas.write(df.limit(0), f"{tmp_dir}/none")
     assert warc_cas.read(spark, f"{tmp_dir}/none").count() == 0
 
@@ -415,6 +431,7 @@ def test_sharding_hot_key(spark):
     rng = random.Random(1)
     rows = [(7 if i % 3 == 0 else i, "x" * rng.randrange(50, 150)) for i in range(900)] + [(None, "n" * 40), (3, None), (4, "y" * 5000)]
     rows = [(d, t, i) for i, (d, t) in enumerate(rows)] + [(8, "same", -1)] * 2
+    rows += [(6, "s" * 100, -2)] * 60 + [(None, "t" * 2000, -3)] * 3  # repeated in full, beyond the limit
     df = spark.createDataFrame(rows, "doc_id long, text string, row int").withColumn("depth", F.lit("clash"))
     out = ext_hash.shards(df, F.col("doc_id"), F.octet_length("text"), F.col("row"), limit=1000).collect()
     assert len(out) == len(rows)
