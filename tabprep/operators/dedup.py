@@ -106,8 +106,9 @@ def stratified_split(df: DataFrame, label: str, key_cols=None, test_fraction: fl
 
     Identical rows are collapsed with a count first, the per-class rank is an
     exact distributed prefix count over hash buckets (no window over a whole
-    class), and a collapsed group that straddles the cut is split by count and
-    re-expanded in chunks."""
+    class; a key with many distinct rows gets buckets of its own, cut by the
+    row hash), and a collapsed group that straddles the cut is split by count
+    and re-expanded in chunks."""
     key_cols = list(key_cols or [c for c in df.columns if c != label])
     cols = df.columns
     # collapsed once: it feeds the bucket totals (size-checked before broadcast)
@@ -118,6 +119,7 @@ def stratified_split(df: DataFrame, label: str, key_cols=None, test_fraction: fl
         "_o1": R.hash_order(key_cols),
         "_o2": F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])),
     }).withColumn("_bucket", R.hash_bucket(F.col("_o1"), n_buckets))
+    work = R.split_hot_buckets(work, "_o1", "_o2")
     ranked = R.exclusive_prefix(work, ["_o1", "_o2"], ["_c"], groups=[label])
     n_train = F.round(F.col("_c_total") * F.lit(1.0 - test_fraction)).cast("long")
     train_n = F.greatest(F.lit(0).cast("long"), F.least(F.col("_c"), n_train - F.col("_c_before")))

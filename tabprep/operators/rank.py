@@ -44,6 +44,31 @@ def hash_bucket(order60: Column, n_buckets: int) -> Column:
     return F.shiftright(order60, 60 - bits).cast("int")
 
 
+def split_hot_buckets(df: DataFrame, first: str, second: str, bucket: str = "_bucket",
+                      rows: int | None = None) -> DataFrame:
+    """Buckets of rows ordered by ``first``, then ``second`` (an md5 text), in
+    which no value of ``first`` fills a task: a value with more than ``rows``
+    rows is cut out of its bucket and into parts by the top bits of ``second``.
+
+    The bucket becomes a struct that orders as the rows do.  Only buckets with
+    too many rows are counted by value; the hot values, of which there are at
+    most one for every ``rows`` rows, come back by an equi-join on the bucket."""
+    rows = rows or BUCKET_ROWS
+    crowded = df.groupBy(bucket).count().where(F.col("count") > rows).select(bucket)
+    hot = (df.join(crowded, bucket, "left_semi").groupBy(bucket, F.col(first).alias("_v")).count().where(F.col("count") > rows)
+           .groupBy(bucket).agg(F.collect_list(F.struct("_v", F.ceil(F.col("count") / rows).alias("parts"))).alias("_hot")))
+    hot = materialize(hot)
+    if hot.isEmpty():
+        return df
+    found = F.filter(F.coalesce("_hot", F.array().cast(hot.schema["_hot"].dataType)), lambda h: h["_v"] <= F.col(first))
+    own = F.get(F.filter(found, lambda h: h["_v"] == F.col(first)), 0)["parts"]
+    # even places lie between hot values, odd ones are a hot value's own
+    place = 2 * F.size(found) - F.when(own.isNull(), 0).otherwise(1)
+    part = F.shiftright(F.conv(F.substring(second, 1, 7), 16, 10).cast("bigint") * F.coalesce(own, F.lit(0)), 28)
+    return df.join(hot, bucket, "left").withColumn(
+        bucket, F.struct(F.col(bucket).alias("top"), place.alias("place"), part.alias("part"))).drop("_hot")
+
+
 def with_quantile_bucket(df: DataFrame, col: str, n_buckets: int, out: str = "_bucket") -> DataFrame:
     """Add a bucket monotone in ``col`` from approximate quantile boundaries.
 

@@ -1,5 +1,7 @@
 """Invariants of the table operators on the dirty fixture and small literals."""
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,6 +85,25 @@ def test_stratified_split_identical_hot_rows(spark):
     assert got == {("a", "train"): 2400, ("a", "test"): 600, ("b", "train"): 4800, ("b", "test"): 1200}
 
 
+def test_split_hot_key_in_buckets(spark, monkeypatch):
+    # one key holds half of the rows, all distinct: its rows lie in several buckets, in order
+    rows = [("a", 7, i) for i in range(2000)] + [("ab"[i % 2], i, i) for i in range(2000)]
+    df = spark.createDataFrame(rows, "label string, k int, v int")
+    plain = D.stratified_split(df, "label", ["k"], 0.2, n_buckets=4)
+    monkeypatch.setattr(R, "BUCKET_ROWS", 300)
+    work = df.select("*", R.hash_order(["k"]).alias("_o1"), F.md5(F.col("v").cast("string")).alias("_o2"))
+    work = work.withColumn("_bucket", R.hash_bucket(F.col("_o1"), 4))
+    cut = R.split_hot_buckets(work, "_o1", "_o2").collect()
+    assert len(cut) == len(rows)
+    ordered = sorted(cut, key=lambda r: (r._o1, r._o2))
+    assert [r._bucket for r in ordered] == sorted(r._bucket for r in cut)
+    hot = [n for n in Counter(r._bucket for r in cut if r.k == 7).values()]
+    assert len(hot) == 7 and max(hot) < 400
+    assert all(r.k == 7 for r in cut if r._bucket.place % 2)
+    split = D.stratified_split(df, "label", ["k"], 0.2, n_buckets=4)
+    assert sorted(split.collect()) == sorted(plain.collect())
+
+
 def test_expand_counts_chunks(spark):
     df = spark.createDataFrame([("x", 250), ("y", 3)], "k string, n long")
     out = D.expand_counts(df, "n", chunk=100)
