@@ -6,6 +6,8 @@ tests/test_io_ml.py covers the fits."""
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from tabprep.operators import dedup as D
 from tabprep.operators import schema as S
 from tabprep.operators.partitioning import materialize
 from tabprep.operators import prep as M
+from tabprep.plans import leafwise as LW
 from tabprep.plans import service as SV
 from tabprep.plans import train as TR
 from tabprep.plans.score import score
@@ -21,6 +24,8 @@ from tabprep.registry import CLEAN_SERVICE_CTE, CORE, CORE_CUR, KEEP, cleaned, c
 from tabprep.sources import io
 
 RAW_ONLY = with_ctes()
+#: Rounds of the registered leaf-wise run: each costs several small jobs.
+LEAFWISE_ROUNDS = 5
 
 RUN_COLS = ["run_name", "model_type", "config_order", "is_best", *TR.COUNT_FIELDS, "train_accuracy", "test_accuracy", "test_precision",
             "test_recall", "test_f1_score", "test_roc_auc", "roc_auc_overfit_gap"]
@@ -185,6 +190,63 @@ def q_service_split_counts(spark, sf):
     return SV.split_rows(raw(spark, sf), KEEP).groupBy("split", "income").agg(F.count(F.lit(1)).alias("rows"))
 
 
+_FILLED = """filled AS (SELECT income, coalesce(age, (SELECT median(age) FROM sides WHERE split = 'train')) AS age,
+    coalesce(hours_per_week, (SELECT median(hours_per_week) FROM sides WHERE split = 'train')) AS hours_per_week
+    FROM sides WHERE split = 'train')"""
+
+
+def _service_vectors(spark, sf):
+    """The service's training side as label and feature vector, written once."""
+    rows = SV.split_rows(raw(spark, sf), KEEP).where("split = 'train'")
+    rows = rows.withColumn("label", (F.col(K.LABEL_COLUMN) == K.LABEL_HIGH).cast("double"))
+    preparation = SV.fit_preparation(rows)
+    return preparation, materialize(preparation.vectors(rows, ["label"]))
+
+
+@register("leafwise_gbt_runs")
+def q_leafwise_gbt(spark, sf):
+    """Leaf-wise boosting, the source job's parameters but for the rounds."""
+    cfg = TR.JOB_CONFIGS["leafwise_gbt"]
+    return SV.train_service(raw(spark, sf), replace(cfg, params={**cfg.params, "rounds": LEAFWISE_ROUNDS}), KEEP)[1]
+
+
+@register("leafwise_histogram", with_ctes(CLEAN_SERVICE_CTE, _SIDES, _FILLED) + """
+    SELECT feature, (dense_rank() OVER (PARTITION BY feature ORDER BY value) - 1)::INTEGER AS bin, rows, positives FROM (
+        SELECT feature, value, count(*) AS rows, count(*) FILTER (income = '>80k') AS positives FROM (
+            SELECT 'age' AS feature, age::DOUBLE AS value, income FROM filled
+            UNION ALL SELECT 'hours_per_week', hours_per_week::DOUBLE, income FROM filled) GROUP BY ALL)""")
+def q_leafwise_histogram(spark, sf):
+    """The first tree's histogram of two features, the left-out bins restored."""
+    preparation, vectors = _service_vectors(spark, sf)
+    names = preparation.columns()
+    edges = LW.fit_edges(vectors)
+    rows, common = LW.binned(vectors, edges)
+    found = LW.histograms(rows.withColumn("score", F.lit(0.0)), F.lit(1).cast("long"), [1])
+    # at score 0 a gradient is half a unit less the label
+    sums = materialize(found.select("slot", "bin", "rows", (F.col("rows") / 2 - F.col("g") / LW.UNIT).cast("long").alias("positives")))
+    slots = spark.createDataFrame([(f, names.index(f"{f}_scaled"), common[names.index(f"{f}_scaled")])
+                                   for f in ("age", "hours_per_week")], "feature string, slot int, top int")
+    listed = sums.join(slots, "slot")
+    n, ones = sums.where("slot = -1").select("rows", "positives").first() or (0, 0)
+    rest = slots.join(listed.groupBy("feature").agg(F.sum("rows").alias("r"), F.sum("positives").alias("q")), "feature", "left").select(
+        "feature", F.col("top").alias("bin"), (F.lit(n) - F.coalesce("r", F.lit(0))).alias("rows"),
+        (F.lit(ones) - F.coalesce("q", F.lit(0))).alias("positives"))
+    return listed.select("feature", "bin", "rows", "positives").unionByName(rest)
+
+
+@register("leafwise_trees", with_ctes(CLEAN_SERVICE_CTE, _SIDES) + """
+    SELECT r.round::INTEGER AS round, (SELECT count(*) FROM sides WHERE split = 'train') AS rows, true AS capped, true AS falls
+    FROM range(1, 4) AS r(round)""")
+def q_leafwise_trees(spark, sf):
+    """Each tree's leaves hold every row once, are at most 31, and the loss falls."""
+    _, vectors = _service_vectors(spark, sf)
+    p = LW.Params(**{**TR.JOB_CONFIGS["leafwise_gbt"].params, "rounds": 3})
+    model = LW.fit(vectors, p)
+    rows = [(i + 1, sum(t.rows.values()), 2 <= len(t.values) <= p.max_leaves, model.losses[i + 1] < model.losses[i])
+            for i, t in enumerate(model.trees)]
+    return spark.createDataFrame(rows, "round int, rows long, capped boolean, falls boolean")
+
+
 @register("service_assembled", with_ctes(CLEAN_SERVICE_CTE, _SIDES, """filled AS (
     SELECT record_id, copy_no, split, coalesce(age, (SELECT median(age) FROM sides WHERE split = 'train')) AS age,
         coalesce(hours_per_week, (SELECT median(hours_per_week) FROM sides WHERE split = 'train')) AS hours,
