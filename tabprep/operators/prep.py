@@ -33,6 +33,40 @@ def category_stages(cols) -> list:
     return [StringIndexer(inputCols=cols, outputCols=[f"{c}_idx" for c in cols], handleInvalid="keep")]
 
 
+def vocabulary_table(df: DataFrame, cols) -> DataFrame:
+    """``column_name, value, count, index`` of every category, written: the same
+    indices as :func:`category_stages`, for columns whose values are too many for
+    a list on the driver.
+
+    Values are counted with map-side combine and sorted by range; each row is
+    written with the number of its range, so an index is the rows of earlier
+    ranges plus the place inside its own.  NULL is no category."""
+    long = df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in cols])))
+    counts = long.where("value IS NOT NULL").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("count"))
+    ranges = materialize(counts.orderBy("column_name", F.desc("count"), "value").select(
+        "*", F.lit(1).cast("long").alias("one"), F.spark_partition_id().alias("_bucket")))
+    placed = R.exclusive_prefix(ranges, [F.desc("count"), F.col("value")], ["one"], ["column_name"], with_total=False)
+    return materialize(placed.select("column_name", "value", "count", F.col("one_before").cast("double").alias("index")))
+
+
+def index_by_table(df: DataFrame, cols, vocabulary: DataFrame, suffix: str = "_idx") -> DataFrame:
+    """``df`` with the index of each column's value from a vocabulary table; a
+    value that the table lacks, or NULL, gets the number of its categories.
+
+    One equi-join per column: Catalyst broadcasts a small vocabulary by its size
+    and shuffles a large one, where adaptive execution splits hot values."""
+    cols = list(cols)
+    sizes = {r["column_name"]: r["n"] for r in vocabulary.where(F.col("column_name").isin(*cols))
+             .groupBy("column_name").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per column
+    out = df
+    for i, c in enumerate(cols):
+        known = vocabulary.where(F.col("column_name") == c).select(F.col("value").alias(f"_value{i}"), F.col("index").alias(f"_index{i}"))
+        out = out.join(known, F.col(c).cast("string") == F.col(f"_value{i}"), "left").drop(f"_value{i}").withColumn(
+            f"{c}{suffix}", F.coalesce(f"_index{i}", F.lit(float(sizes.get(c, 0))))).drop(f"_index{i}")
+    return out
+
+
 # ------------------------------------------------------------------ M03-M04
 def imputer_stage(cols=K.NUMERIC_FEATURES) -> Imputer:
     """Approximate median imputation (lower median)."""

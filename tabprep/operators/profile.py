@@ -175,6 +175,48 @@ def profile_table(df: DataFrame, digits: int = 9) -> DataFrame:
     return profile(df, digits=digits).join(quartiles, "column_name", "left").join(top, "column_name", "left")
 
 
+# ---------------------------------------------------------- A11, A15 mergeable
+#: log2 of a distinct-count sketch's registers (relative error about 1.04 / sqrt(2^12)).
+HLL_BITS = 12
+#: Items a quantile sketch keeps per level (rank error about 0.65 % at 400).
+KLL_ITEMS = 400
+
+
+def sketch_states(df: DataFrame, by=(), cols=None) -> DataFrame:
+    """Mergeable state of each column, per combination of ``by`` (a load date, a
+    file, nothing): rows, non-null values, a distinct-count sketch and, for
+    numbers, a quantile sketch.  Saved with each load, the states of old loads
+    need no second scan; :func:`sketch_summary` merges any of them.
+
+    One scan; a state's size is bounded whatever its rows."""
+    by = list(by)
+    fields = [f for f in df.schema.fields if f.name not in by and (cols is None or f.name in cols)]
+    aggs, structs = [], []
+    for i, f in enumerate(fields):
+        c = F.col(f.name)
+        number = F.when(~F.isnan(c.cast("double")), c.cast("double")) if _kind(f.dataType) == "numeric" else F.lit(None).cast("double")
+        aggs += [F.count(c).alias(f"_n{i}"), F.hll_sketch_agg(c.cast("string"), HLL_BITS).alias(f"_h{i}"),
+                 F.kll_sketch_agg_double(number, KLL_ITEMS).alias(f"_k{i}")]
+        structs.append(F.struct(F.lit(f.name).alias("column_name"), F.col("_rows").alias("rows"), F.col(f"_n{i}").alias("values"),
+                                F.col(f"_h{i}").alias("distinct_state"), F.col(f"_k{i}").alias("quantile_state")))
+    wide = (df.groupBy(*by) if by else df).agg(F.count(F.lit(1)).alias("_rows"), *aggs)
+    return wide.select(*by, F.inline(F.array(*structs)))
+
+
+def sketch_summary(states: DataFrame, probs=(0.25, 0.5, 0.75)) -> DataFrame:
+    """One row per column from the merged states: rows and non-null values
+    (exact), distinct count and quantiles (within the sketches' error; NULL
+    where a column has no number)."""
+    names = [f"p{int(round(p * 100))}" for p in probs]
+    merged = states.groupBy("column_name").agg(
+        F.sum("rows").alias("row_count"), F.sum("values").alias("count"),
+        F.hll_sketch_estimate(F.hll_union_agg("distinct_state")).alias("approx_distinct"),
+        F.kll_merge_agg_double("quantile_state", KLL_ITEMS).alias("_k"))
+    held = F.kll_sketch_get_n_double("_k") > 0
+    return merged.select("column_name", "row_count", "count", "approx_distinct", *[
+        F.when(held, F.kll_sketch_get_quantile_double("_k", F.lit(float(p)))).alias(n) for p, n in zip(probs, names)])
+
+
 # ------------------------------------------------------------------------ A16
 def correlations(df: DataFrame, cols=None, digits: int = 6) -> DataFrame:
     """Pearson correlation for every column pair (a < b in list order), one aggregate."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
+from pyspark.sql.functions import unwrap_udt
 
 from tabprep import constants as K
 from tabprep.operators import prep as M
@@ -134,3 +135,34 @@ def q_standardize_population(spark, sf):
 def q_class_weights(spark, sf):
     w = M.class_weights(_mf(spark, sf).select("income"))
     return w.groupBy("income", "class_weight").agg(F.count(F.lit(1)).alias("count"))
+
+
+# ------------------------------------------- M02, M06 with a vocabulary table
+TABLE_CATS = ["o_custkey", "o_orderkey", "o_orderstatus"]
+
+
+def _orders_text(spark, sf):
+    return table(spark, sf, "orders").select(*[F.col(c).cast("string").alias(c) for c in TABLE_CATS])
+
+
+@register("category_index_table", _cat_index_sql("orders", TABLE_CATS, ""))
+def q_category_index_table(spark, sf):
+    """Indices of columns with as many values as rows, through the joined table."""
+    df = _orders_text(spark, sf)
+    out = M.index_by_table(df, TABLE_CATS, M.vocabulary_table(df, TABLE_CATS))
+    long = out.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value"), F.col(f"{c}_idx").alias("index")) for c in TABLE_CATS])))
+    return long.groupBy("column_name", "value", "index").agg(F.count(F.lit(1)).alias("count"))
+
+
+@register("onehot_table", "SELECT index, (SELECT count(DISTINCT o_custkey) FROM orders) AS size, count(*) AS count FROM (SELECT "
+          "CAST(row_number() OVER (ORDER BY count(*) DESC, CAST(o_custkey AS VARCHAR)) - 1 AS BIGINT) AS index, o_custkey FROM orders "
+          "GROUP BY o_custkey) JOIN orders USING (o_custkey) GROUP BY index")
+def q_onehot_table(spark, sf):
+    """Sparse one-hot vectors of a column with many values: rows by their one slot."""
+    df = _orders_text(spark, sf).select("o_custkey")
+    indexed = M.index_by_table(df, ["o_custkey"], M.vocabulary_table(df, ["o_custkey"]))
+    coded = M.onehot_stage(["o_custkey"]).fit(indexed).transform(indexed)
+    slot = F.get(unwrap_udt("o_custkey_ohe")["indices"], 0).cast("long")
+    size = unwrap_udt("o_custkey_ohe")["size"].cast("long")
+    return coded.groupBy(slot.alias("index"), size.alias("size")).agg(F.count(F.lit(1)).alias("count"))

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from itertools import combinations
 
+from pyspark.sql import functions as F
+
 from tabprep import constants as K
 from tabprep.operators import profile as P
+from tabprep.operators.partitioning import materialize
 from tabprep.registry import CORE_CUR, curated, register, table
 
 # Lineitem schema as supplied (name, Spark simple type).
@@ -111,3 +114,24 @@ def _profile_table_sql() -> str:
 @register("profile_table_lineitem", _profile_table_sql())
 def q_profile_table_lineitem(spark, sf):
     return P.profile_table(table(spark, sf, "lineitem"))
+
+
+# --------------------------------------------------- A11, A15 mergeable states
+@register("profile_sketches", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) AS row_count, count({c}) AS count, true AS distinct_close, "
+    f"{'true' if t in ('bigint', 'int', 'double') else 'CAST(NULL AS BOOLEAN)'} AS median_close FROM lineitem" for c, t in LINEITEM))
+def q_profile_sketches(spark, sf):
+    """States per return flag and line status, merged: counts, and whether the
+    distinct counts are within 8 % and the medians within 3 % in rank."""
+    df = table(spark, sf, "lineitem")
+    states = materialize(P.sketch_states(df.withColumns({"flag": F.col("l_returnflag"), "status": F.col("l_linestatus")}), by=["flag", "status"]))
+    merged = materialize(P.sketch_summary(states, [0.5]))
+    exact = P.distinct_counts(df).join(spark.createDataFrame(list(enumerate(df.columns)), "col_idx int, column_name string"), "col_idx")
+    cells = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in L_NUM])))
+    ranks = cells.where("value IS NOT NULL").join(merged.select("column_name", "p50"), "column_name").groupBy("column_name").agg(
+        (F.count_if(F.col("value") < F.col("p50")) / F.count(F.lit(1))).alias("below"),
+        (F.count_if(F.col("value") <= F.col("p50")) / F.count(F.lit(1))).alias("upto"))
+    return merged.join(exact, "column_name").join(ranks, "column_name", "left").select(
+        "column_name", "row_count", "count",
+        (F.abs(F.col("approx_distinct") - F.col("distinct_count")) <= 1 + 0.08 * F.col("distinct_count")).alias("distinct_close"),
+        ((F.col("below") <= 0.53) & (F.col("upto") >= 0.47)).alias("median_close"))

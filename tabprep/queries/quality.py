@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tabprep import constants as K
 from tabprep.operators import dedup as D
 from tabprep.operators import quality as Q
+from tabprep.plans.curate import run_curate
 from tabprep.registry import (AUDIT, AUDIT_CUR, CORE, CORE_CUR, FIXED_NOW, KEEP, SOURCE_PATH, cleaned, curated,
                               ntz, raw, register, with_ctes)
 from tabprep.sources import oracle_sql as O
@@ -229,6 +230,12 @@ def q_dq_metrics_core(spark, sf):
     return ntz(Q.dq_metrics(raw(spark, sf), curated(spark, sf), "core", SOURCE_PATH, FIXED_NOW))
 
 
+@register("curate_job_metrics", _dq_core_sql())
+def q_curate_job_metrics(spark, sf):
+    """The metric table of the whole job, from its staged rows."""
+    return ntz(run_curate(raw(spark, sf), tie_break=KEEP, source_path=SOURCE_PATH, now=FIXED_NOW, enforce_gates=False).dq_metrics)
+
+
 AUD_COLS = K.AUDIT_COLUMNS + ["processed_at", "pipeline_version"]
 
 
