@@ -93,3 +93,19 @@ def test_dead_letters_and_restart(spark, tmp_dir):
     for file in (last, f".{last}.crc"):
         os.remove(os.path.join(at["ck"], "commits", file))
     assert run()[0] == 5
+
+
+def test_models_can_be_applied_after_a_publish(spark):
+    """Publishing leaves nothing in the session that keeps a fitted model from
+    being shipped to executors."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.functions import array_to_vector
+    name = "tabprep_jobs.before_fit"
+    try:
+        io.publish_version(spark.range(10).toDF("a"), name)
+        rows = spark.range(40).select(array_to_vector(F.array(F.col("id").cast("double"))).alias("features"),
+                                      (F.col("id") > 20).cast("double").alias("label"))
+        model = LogisticRegression(maxIter=2).fit(rows)
+        assert model.transform(rows).groupBy("prediction").count().count() >= 1
+    finally:
+        io.withdraw(spark, name)
