@@ -84,7 +84,7 @@ def q_confusion_best(spark, sf):
 
 @register("batch_score")
 def q_batch_score(spark, sf):
-    cur = curated(spark, sf)
+    cur = materialize(curated(spark, sf))  # fitted on and scored
     cfg = TR.SWEEP_CONFIGS[0]
     res = TR.run_sweep(cur, [cfg])
     from pyspark.ml import PipelineModel
@@ -166,15 +166,17 @@ def q_request_ingest(spark, sf):
     fields = ["age", "education_level", "education_num", "hours_per_week", "capital_gain", "event_time"]
     spell = {"kebab": lambda n: n.replace("_", "-"), "snake": lambda n: n, "spaced": lambda n: f" {n.replace('_', ' ').title()} ",
              "upper": lambda n: n.upper()}
-    out = None
-    for name, f in spell.items():
+
+    def request(name: str, f):
         record = F.struct(*[F.col(c).alias(f(c)) for c in fields])
-        request = raw(spark, sf).select(*KEEP, F.to_json(F.struct(F.lit(name).alias("model"), F.array(record).alias("records"))).alias("j"))
-        parsed = request.select(*KEEP, F.from_json("j", io.REQUEST_SCHEMA).alias("r")).select(
-            F.struct(*KEEP, F.lit(name).alias("spelling")).alias("model"), F.col("r.records").alias("records"))
-        rows = io.explode_records(parsed).select("model.*", *fields[:-1], "event_time_std")
-        out = rows if out is None else out.unionByName(rows)
-    return out
+        text = F.to_json(F.struct(F.lit(name).alias("model"), F.array(record).alias("records")))
+        return F.struct(F.lit(name).alias("spelling"), text.alias("j"))
+
+    # the source is read and joined once for all spellings
+    requests = raw(spark, sf).select(*KEEP, F.inline(F.array(*[request(name, f) for name, f in spell.items()])))
+    parsed = requests.select(F.struct(*KEEP, "spelling").alias("model"), F.from_json("j", io.REQUEST_SCHEMA).alias("r")).select(
+        "model", F.col("r.records").alias("records"))
+    return io.explode_records(parsed).select("model.*", *fields[:-1], "event_time_std")
 
 
 _SORT = ("('0x' || substr(md5(record_id || '|' || copy_no), 1, 15))::BIGINT, "
