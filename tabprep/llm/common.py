@@ -6,6 +6,7 @@ import os
 import uuid
 from collections.abc import Callable, Iterable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +22,11 @@ WORD_CHARS = r"[^\x20\x09-\x0D]+"
 BATCH_ROWS = 1000
 
 
+#: Bits for each key of a set that travels as a literal, and all of them at most (4 MiB).
+KEY_BITS = 8
+MAX_SET_BITS = 1 << 25
+
+
 def importable(spark: SparkSession, batch_rows: int = BATCH_ROWS) -> None:
     """Python workers find this package where the driver found it, as they do
     when it is installed or shipped with ``--py-files``, and get small batches."""
@@ -54,6 +60,22 @@ def folder(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tabprep-llm-{uuid.uuid4().hex}"
 
 
+def perhaps_in(keys: DataFrame, *by: str) -> Column:
+    """False only for rows whose columns ``by`` are those of no row of ``keys``.
+
+    One bit a hash value, so some other rows pass too: what passes still has to
+    be joined, and what does not need not be shuffled for it.  The set stops
+    growing at ``MAX_SET_BITS``; more keys only let more rows pass."""
+    bits = min(MAX_SET_BITS, 64 << max(0, KEY_BITS * keys.count() // 64).bit_length())
+    at = F.pmod(F.xxhash64(*by), F.lit(bits))
+    one = F.expr("shiftleft(1L, cast(pmod(at, 64) AS INT))")
+    found = keys.select(at.alias("at")).groupBy(F.floor(F.col("at") / 64).alias("word")).agg(F.bit_or(one).alias("bits")).toArrow()
+    words = np.zeros(bits // 64, np.int64)
+    words[found["word"].to_numpy()] = found["bits"].to_numpy()
+    listed = F.split(F.lit(",".join(map(str, words.tolist()))), ",").cast("array<bigint>")  # folded to one literal
+    return F.getbit(F.element_at(listed, (F.floor(at / 64) + 1).cast("int")), F.pmod(at, F.lit(64)).cast("int")) == 1
+
+
 def require(df: DataFrame, columns: Iterable[str]) -> None:
     missing = [c for c in columns if c not in df.columns]
     if missing:

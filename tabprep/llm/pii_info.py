@@ -17,8 +17,8 @@ corpora of about a thousand documents or more.)
 
 Only entities, pairs and term frequencies are shuffled, partially aggregated;
 whole texts are shuffled for documents that hold an entity, never for others.
-What gives an entity away stays in rows ``entity, term``; the documents' own
-pairs are joined to them, and a document gathers its own hits only, at most its
+What gives an entity away stays in rows ``entity, term``; those of the documents'
+own pairs that a bit set of them lets pass are joined to them, and a document gathers its own hits only, at most its
 distinct words.  The few entities of many documents are dealt over ``SALTS``
 keys in each join.
 
@@ -36,7 +36,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabprep.llm.common import with_row, let, require, stage
+from tabprep.llm.common import perhaps_in, with_row, let, require, stage
 
 #: Kinds of base spans in the order of ties, and the kind of added spans.
 KINDS = ("email", "ip", "card", "phone")
@@ -190,7 +190,8 @@ def annotate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", gene
     rows = with_base(df, text_col)
     none = F.array().cast("array<struct<start:int,kind:int,end:int,removed:boolean>>")
     plain = rows.where(F.size("_entities") == 0).withColumn("_added", none).drop("_entities")
-    own = _dealt(_pairs(holders.dropDuplicates(["_id", "_hash"]), "_id", "_hash"), hot, ["_id", "_hash"])
+    own = _pairs(holders, "_id", "_hash").where(perhaps_in(found, "entity", "term")).distinct()
+    own = _dealt(own, hot, ["_id", "_hash"])
     given = own.join(_copied(found, hot), ["entity", "_salt", "term"]).groupBy("_id", "_hash").agg(
         F.collect_set(F.struct("term", "removed")).alias("_terms"))
     some = rows.where(F.size("_entities") > 0).select("*", *_key(id_col))

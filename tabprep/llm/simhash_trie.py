@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabprep.llm.common import whole_rows, with_row, require, stage, words_of
+from tabprep.llm.common import perhaps_in, whole_rows, with_row, require, stage, words_of
 from tabprep.llm.components import components
 
 BITS = 64
@@ -289,16 +289,18 @@ def near_duplicates(df: DataFrame, width: int = 4, budget: int = 4, text_col: st
 def keep_one(df: DataFrame, width: int = 4, budget: int = 4, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``df`` with one row of each component: the one with the smallest id.
     Columns of any name pass through.  The rows to drop are written first, so
-    their size is known when the join is planned."""
+    their size is known when the join is planned.  Whole rows are shuffled only
+    where their key may be one of those; all others stay where they are."""
     rows = grouped(df, width, budget, text_col, id_col)
     own = F.coalesce("doc_id", F.lit(NO_ID))
     drop = stage(rows.where((own != F.col("kept.id")) | (F.col("key") != F.col("kept.key")))
                  .select(own.alias("id"), "key").distinct())
     again = stage(rows.groupBy(own.alias("id"), "key").count().where("count > 1").select("id", "key"))
     held = with_row(df, id=F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)), key=text_key(text_col))
-    left = held.join(drop, ["id", "key"], "left_anti")
+    asked = perhaps_in(drop.unionByName(again), "id", "key")
+    left = held.where(asked).join(drop, ["id", "key"], "left_anti")
     if not again.isEmpty():
         # rows that repeat id and text: one of each stays
         left = left.join(again, ["id", "key"], "left_anti").unionByName(
             left.join(again, ["id", "key"], "left_semi").dropDuplicates(["id", "key"]))
-    return whole_rows(left, df.columns)
+    return whole_rows(held.where(~asked).unionByName(left), df.columns)
