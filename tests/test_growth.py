@@ -41,6 +41,35 @@ def test_fit_partitions_follow_rows(spark):
     assert P.spread_rows(rows).rdd.getNumPartitions() == rows.rdd.getNumPartitions()
 
 
+def test_sweep_spreads_its_rows_once(spark, monkeypatch):
+    from tabprep.plans import train as TR
+    from tabprep.registry import curated
+    rows = curated(spark, "/root/testdata/sf0.001")
+    configs = [TR.ModelConfig("lr", "LogisticRegression", {"maxIter": 3}), TR.ModelConfig("dt", "DecisionTreeClassifier", {"maxDepth": 3}),
+               TR.JOB_CONFIGS["compact_dt"]]
+    plain = TR.run_sweep(rows, configs)
+    calls, held = [], []
+
+    class Seen(type(rows)):
+        def persist(self, *a):
+            held.append(self)
+            return super().persist(*a)
+
+    def spread(df):
+        n = df.rdd.getNumPartitions()
+        out = P.spread_rows(df, rows=50)
+        calls.append(out.rdd.getNumPartitions() > n)
+        return Seen(out._jdf, out.sparkSession) if calls[-1] else out
+
+    before = set(spark.sparkContext._jsc.getPersistentRDDs())
+    monkeypatch.setattr(TR, "spread_rows", spread)
+    res = TR.run_sweep(rows, configs)
+    assert calls == [True, True]  # two preparations, three fits
+    assert len(held) == 1 and not held[0].is_cached and set(spark.sparkContext._jsc.getPersistentRDDs()) <= before
+    counts = ["run_name", *TR.COUNT_FIELDS]
+    assert res.runs.select(counts).sort("run_name").collect() == plain.runs.select(counts).sort("run_name").collect()
+
+
 def test_request_ingest_reads_its_source_once(spark):
     from tabprep.registry import QUERIES, raw
     sf = "/root/testdata/sf0.001"
