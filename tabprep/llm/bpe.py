@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabprep.llm.common import with_row
+from tabprep.llm.common import lean, with_row
 
 #: Distinct matches in one generation of a task's cache, and the characters of
 #: the longest one that is kept.
@@ -155,7 +155,7 @@ def _coded(df: DataFrame, path: str, pattern: str, text_col: str, new: list[T.St
                 coded = [own.encode(t or "") for t in batch.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column(0), *columns(own, coded)], names=schema.names)
 
-    return held.mapInArrow(run, schema).select(
+    return held.mapInArrow(lean(run), schema).select(
         *[F.col("row").getField(c).alias(c) for c in keep], *[F.col(f.name) for f in new])
 
 
@@ -200,7 +200,7 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=schema.names)
 
     kept = [F.col("row").getField(c).alias(c) for c in df.columns if c.lower() != "decoded"]
-    return held.mapInArrow(run, schema).select(*kept, "decoded")
+    return held.mapInArrow(lean(run), schema).select(*kept, "decoded")
 
 
 def round_trip(df: DataFrame, path: str, pattern: str, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabprep.llm.common import perhaps_in, whole_rows, with_row, require, stage, words_of
+from tabprep.llm.common import lean, perhaps_in, whole_rows, with_row, require, stage, words_of
 from tabprep.llm.components import components
 
 BITS = 64
@@ -80,7 +80,7 @@ def with_fingerprints(df: DataFrame, width: int, text_col: str, id_col: str) ->
                 names=["doc_id", "key", "fp"])
 
     held = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_key(text_col), F.col(f"`{text_col}`").cast("string").alias("t"))
-    return held.mapInArrow(run, "doc_id long, key long, fp long")
+    return held.mapInArrow(lean(run), "doc_id long, key long, fp long")
 
 
 def text_key(text_col: str) -> Column:
@@ -241,7 +241,7 @@ def links(fps: DataFrame, budget: int, blocks: int | None = None) -> DataFrame:
             yield _walked(_joined(held), budget)
 
     keys = ["choice", "top", "i", "j"]
-    return tasks.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(join, "u long, v long")
+    return tasks.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lean(join), "u long, v long")
 
 
 def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabprep.llm.common import with_row, fold, require, words_of
+from tabprep.llm.common import fold, give_back, lean, require, with_row, words_of
 
 FOLDS = 5
 GRAMS = (3, 4, 5, 6)
@@ -113,6 +113,11 @@ class Model:
     bias: float
 
 
+def index_type(size: int) -> type:
+    """The smallest type that numbers up to ``size`` fit."""
+    return next((t for t in (np.uint8, np.uint16, np.int32) if size <= np.iinfo(t).max), np.int64)
+
+
 @dataclass
 class Batch:
     """Texts of one training step: text x word and word x bucket as sorted
@@ -133,9 +138,12 @@ class Batch:
         self.by_word = np.argsort(self.word, kind="stable")
         self.use_at = np.searchsorted(self.word[self.by_word], np.arange(len(self.inverse)))
         by_bucket = np.argsort(self.bucket, kind="stable")
-        self.bucket_word = self.gram_word[by_bucket].astype(np.uint16 if len(self.inverse) < 1 << 16 else np.int32)
+        self.bucket_word = self.gram_word[by_bucket].astype(index_type(len(self.inverse)))
         self.bucket_at = np.searchsorted(self.bucket[by_bucket], np.arange(len(self.used)))
-        self.bucket, self.gram_word = self.bucket.astype(np.int32), np.zeros(0, np.int32)
+        self.gram_word = np.zeros(0, np.int32)
+        for name, end in (("bucket", len(self.used)), ("word", len(self.inverse)), ("doc", len(self.y)), ("by_word", len(self.word)),
+                          ("use_at", len(self.word)), ("word_at", len(self.bucket)), ("bucket_at", len(self.bucket))):
+            setattr(self, name, getattr(self, name).astype(index_type(end)))  # the fit holds all batches
 
     def step(self, grid: np.ndarray, soft: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, ...]:
         """Gradients of the softmax loss by used bucket, softmax and bias."""
@@ -207,6 +215,7 @@ def fit(texts: list[str], toxic: list[int], epochs: int = EPOCHS) -> Model:
         return Model(np.zeros(BUCKETS, np.float32), bias)
     order = np.random.default_rng(SEED).permutation(len(y))
     steps = list(batches([texts[k] for k in order], y[order]))
+    give_back()  # what cutting the steps took
     epochs = max(epochs, -(-LEAST_STEPS // len(steps)))
     # margins are linear, so members that start elsewhere average into one model
     members = [train(steps, epochs, SEED + k) for k in range(MEMBERS)]
@@ -306,7 +315,7 @@ def score(df: DataFrame, model: Model, text_col: str = "text", score_col: str =
                 found = margins.probabilities(batch.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64())], names=["row", "score"])
 
-    scored = held.mapInArrow(run, schema)
+    scored = held.mapInArrow(lean(run), schema)
     return scored.select(*[F.col("row").getField(c).alias(c) for c in kept], F.col("score").alias(score_col))
 
 
@@ -322,7 +331,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sa
                                          names=["bucket", "bias"])
 
     sample = training_sample(docs, labels, sample_rows, sample_bytes)
-    row = sample.coalesce(1).mapInArrow(train, "bucket binary, bias double").first()
+    row = sample.coalesce(1).mapInArrow(lean(train), "bucket binary, bias double").first()
     return Model(np.frombuffer(row.bucket, np.float32), row.bias) if row else fit([], [])
 
 
