@@ -72,7 +72,8 @@ def q_feature_importance(spark, sf):
 
 @register("confusion_matrix_best")
 def q_confusion_best(spark, sf):
-    res = TR.run_sweep(curated(spark, sf), TR.SWEEP_CONFIGS[:2])
+    """The confusion table of the best run of the whole sweep."""
+    res = TR.run_sweep(curated(spark, sf), TR.sweep_configs())
     best = res.runs.where("is_best").first()["run_name"]
     p = res.test_predictions[best]
     return p.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("count")).orderBy("label", "prediction")
