@@ -280,14 +280,15 @@ def tallied(found: Iterator[Block], packing: Packing, splits: dict, nodes: list[
         order = np.flatnonzero(own >= 0)
         if not len(order):
             continue
-        own, label, score = own[order], block[0][order], block[1][order]
+        pick = slice(None) if len(order) == len(own) else order
+        own, label, score = own[pick], block[0][pick], block[1][pick]
         weights = stats(label, score)
         if measure:
             measured += np.bincount(own, measure(label, score), len(nodes))
         if sums is None:
             sums = [np.zeros((1 + len(weights), len(nodes), width), np.int64) for width in packing.widths]
         for total, column, width in zip(sums, block[2], packing.widths):
-            cell = own * width + column[order]
+            cell = own * width + column[pick] if len(nodes) > 1 else column[pick].astype(np.int64)
             for i, weight in enumerate((None, *weights)):
                 # whole numbers below 2**53 in a block
                 total[i] += np.bincount(cell, weight, len(nodes) * width).astype(np.int64).reshape(len(nodes), width)

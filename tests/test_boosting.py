@@ -4,10 +4,15 @@ import random
 from datetime import datetime, timedelta
 
 import numpy as np
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml import classification
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import functions as F
 
 from tabprep import constants as K
+from tabprep.operators import partitioning as P
 from tabprep.plans import boosting as B
+from tabprep.plans import gbt
 from tabprep.plans import leafwise as LW
 from tabprep.plans import service as SV
 from tabprep.plans import train as TR
@@ -30,6 +35,7 @@ def curated_rows(spark, n=600):
 def test_best_is_chosen_among_all_runs(spark, monkeypatch):
     """No logistic regression tells these labels apart; a tree of the sweep does."""
     monkeypatch.setattr(ML, "curated", lambda spark, sf: curated_rows(spark))
+    monkeypatch.setattr(TR, "BOOST_FALLBACK", TR.ModelConfig("gbt_fallback_for_xgboost", "GBTClassifier", {"maxIter": 2}))
     found = {(r["label"], r["prediction"]): r["count"] for r in ML.q_confusion_best(spark, None).collect()}
     right = found.get((0.0, 0.0), 0) + found.get((1.0, 1.0), 0)
     assert right > 0.85 * sum(found.values())
@@ -96,3 +102,38 @@ def test_masks_find_the_leaf_that_the_walk_finds(spark):
         table = tree.table()
         open_, values = LW.masks(table, model.edges)
         assert (values[LW.exits(open_, bins)] == np.array(table["value"])[LW.walk(table, bins)]).all()
+
+
+def flowing(n=700):
+    """Rows without splits that part them alike: numbers of their own, and a flag."""
+    rng, rows = random.Random(13), []
+    for i in range(n):
+        x = [rng.gauss(0, 1), rng.gauss(0, 1), float(rng.random() < 0.4)]
+        rows.append((float((x[0] > 0.3) ^ (x[2] > 0) or x[1] + rng.gauss(0, 0.4) > 1), x))
+    return rows
+
+
+def test_boosted_trees_are_those_of_mllib(spark, monkeypatch):
+    """Thresholds, trees, importances and scores, with a two-valued category as
+    the one-hot encoder marks it; the class of the model is MLlib's."""
+    x = vectors(spark, flowing()).select("label", F.col("x")[0].alias("a"), F.col("x")[1].alias("b"), F.col("x")[2].alias("c"))
+    flagged = OneHotEncoder(inputCol="c", outputCol="f", dropLast=False).fit(x).transform(x)
+    df = P.materialize(VectorAssembler(inputCols=["a", "b", "f"], outputCol="features").transform(flagged).select("label", "features"))
+    params = dict(maxIter=6, maxDepth=3, stepSize=0.2, minInstancesPerNode=25, seed=3)
+    own = gbt.GBTClassifier(**params)
+    assert type(own.fit(df)) is type(classification.GBTClassifier(**params).fit(df))
+    theirs = classification.GBTClassifier(**params).fit(df)
+    calls = []
+    grow = gbt.grow
+    monkeypatch.setattr(gbt, "grow", lambda *a: calls.append(1) or grow(*a))
+    monkeypatch.setattr(gbt, "MLLIB_ROWS", 0)
+    for few in (B.FEW_ROWS, 0):  # by the driver and in the cluster
+        monkeypatch.setattr(B, "FEW_ROWS", few)
+        mine = own.fit(df)
+        assert len(calls) == 6 and not calls.clear()
+        assert np.allclose(mine.featureImportances.toArray(), theirs.featureImportances.toArray(), atol=1e-6)
+        got, want = ([r.p[1] for r in m.transform(df).select(vector_to_array("rawPrediction").alias("p")).collect()] for m in (mine, theirs))
+        assert np.allclose(got, want, atol=1e-8)
+        assert mine.getNumTrees == 6 and mine.treeWeights == theirs.treeWeights
+    own.setSubsamplingRate(0.5).fit(df)
+    assert not calls  # MLlib draws its rows
