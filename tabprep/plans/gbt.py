@@ -73,10 +73,12 @@ def variance(rows: np.ndarray, total: np.ndarray, squares: np.ndarray) -> np.nda
     return (squares / SQUARE - total * total / rows) / rows
 
 
-def grow(over: B.Passes, depth: int, least_rows: int, least_gain: float) -> dict[int, Node]:
-    """One tree's nodes, level by level."""
+def grow(over: B.Passes, depth: int, least_rows: int, least_gain: float, binary: set[int]) -> dict[int, Node]:
+    """One tree's nodes, level by level; of the two values of a ``binary`` slot
+    the one of the lower mean counts as left."""
     sizes = over.packing.sizes
     slot_of, first = np.repeat(np.arange(len(sizes)), sizes), np.concatenate([[0], np.cumsum(sizes)])[:-1]
+    category = np.isin(slot_of, list(binary))
     found = B.Histograms(over)
     rows, total, squares = found.total(1)
     nodes = {1: Node(rows, total / UNIT, squares / SQUARE)}
@@ -93,7 +95,9 @@ def grow(over: B.Passes, depth: int, least_rows: int, least_gain: float) -> dict
             n, rn = left[0], right[0]
             # as MLlib writes it, so that where sums are whole numbers its rounding is the same
             with np.errstate(divide="ignore", invalid="ignore"):
-                gain = nodes[i].impurity() - n / own[0] * variance(*left) - rn / own[0] * variance(*right)
+                a, b = n / own[0] * variance(*left), rn / own[0] * variance(*right)
+                turned = category & (right[1] / rn < left[1] / n)
+                gain = nodes[i].impurity() - np.where(turned, b, a) - np.where(turned, a, b)
             gain[(n < max(least_rows, 1)) | (rn < max(least_rows, 1))] = -np.inf
             best = int(gain.argmax())  # ties: the first slot, then the first bin
             top = float(gain[best])
@@ -131,7 +135,7 @@ class GBTClassifier(classification.GBTClassifier):
         trees, weights = [], []
         try:
             for k in range(get("maxIter")):
-                nodes = grow(over, get("maxDepth"), get("minInstancesPerNode"), get("minInfoGain"))
+                nodes = grow(over, get("maxDepth"), get("minInstancesPerNode"), get("minInfoGain"), binary)
                 trees.append(nodes)
                 weights.append(1.0 if k == 0 else get("stepSize"))
                 over.raise_scores({i: x.split for i, x in nodes.items() if x.split},
